@@ -106,7 +106,7 @@ def bags(df: DataFrame) -> DataFrame:
     return df.mapInArrow(pack, "label int, features binary, ends binary")
 
 
-def fit_bags(rows: list[tuple[int, bytes, bytes]], n_features: int = N_FEATURES, epochs: int = 150, l2: float = 0.02) -> Model:
+def fit_bags(rows: list[tuple[int, bytes, bytes]], n_features: int = N_FEATURES, epochs: int = 150, l2: float = 0.001) -> Model:
     """Fit by gradient descent on the noisy-or's log loss."""
     if not rows:
         return Model(leak=0.5)
