@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import decontaminate, quality, simhash, toxicity
 from .common import crc_remainder, load
 
 
@@ -21,7 +21,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op5_decontaminate": op5_decontaminate,
+    "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op10_quality": op10_quality,
 }
