@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash, toxicity
+from . import decontaminate, packing, quality, simhash, toxicity, warc
 from .common import crc_remainder, load
 
 
@@ -26,15 +26,41 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archive(load(spark, sf_dir, "pages"), warc.archive_path(spark))
+    found = warc.read_archive(spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM m
+"""
+
+
 QUERIES = {
+    "op4_packing": op4_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": OP8_SQL,
+}
