@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framewright.llm import toxicity
+from framewright.llm import decontaminate, packing, simhash, suffix, toxicity
 from framewright.llm.common import load, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,8 +19,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.screen(docs, model)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of SimHash near-duplicates the document with the smallest id stays."""
+    return simhash.keep_one(docs)
+
+
+def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte strings that repeat go from the texts; every document stays, with its new n_chars."""
+    return suffix.stripped(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with passages of two or more benchmark items go; all columns stay."""
+    return decontaminate.screen(docs, load(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("suffix_array_dedup", strip_repeats),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 #: SQL can't express the stages (a trained model, hashed fingerprints, a packing search).

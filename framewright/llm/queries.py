@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash, toxicity, warc
+from . import decontaminate, packing, quality, simhash, suffix, toxicity, warc
 from .common import crc_remainder, load
 
 
@@ -42,6 +42,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeats(load(spark, sf_dir, "documents"))
+
+
 OP8_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS response FROM p)
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
+    "op9_suffix": op9_suffix,
     "op10_quality": op10_quality,
 }
 
