@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash, suffix, toxicity, warc
+from . import decontaminate, lm, packing, quality, simhash, suffix, toxicity, warc
 from .common import crc_remainder, load
 
 
@@ -26,6 +26,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(load(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +61,7 @@ FROM m
 
 
 QUERIES = {
+    "op1_lm": op1_lm,
     "op4_packing": op4_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
