@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, packing, quality, simhash, suffix, toxicity, warc
+from . import decontaminate, html, lm, packing, quality, simhash, suffix, toxicity, warc
 from .common import crc_remainder, load
 
 
@@ -30,6 +30,10 @@ def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(load(spark, sf_dir, "documents"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(load(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +66,7 @@ FROM m
 
 QUERIES = {
     "op1_lm": op1_lm,
+    "op2_html": op2_html,
     "op4_packing": op4_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
