@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, lm, packing, quality, simhash, suffix, toxicity, warc
+from . import decontaminate, html, lm, neighbours, packing, quality, simhash, suffix, toxicity, warc
 from .common import crc_remainder, load
 
 
@@ -34,6 +34,10 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(load(spark, sf_dir, "pages"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +71,7 @@ FROM m
 QUERIES = {
     "op1_lm": op1_lm,
     "op2_html": op2_html,
+    "op3_neighbours": op3_neighbours,
     "op4_packing": op4_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
