@@ -110,34 +110,51 @@ def cells(grounding: Column, caption: Column, w: Column, h: Column, p: Profile)
     return F.transform(out, finished)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def survivors(of: Column) -> Column:
     """Entries that no rule takes, as k, phrase, cw, boxes. If stripping has made two
     phrases one, it has the place of the first and the boxes of the last."""
-    own = F.transform(F.filter(of, lambda c: c["rule"].isNull()), lambda c: F.struct(c["k"], c["phrase"], c["cw"], c["boxes"]))
-    names = F.array_distinct(F.transform(own, lambda c: c["phrase"]))
 
-    def merged(name):
-        same = F.filter(own, lambda c: c["phrase"] == name)
-        first, last = F.element_at(same, 1), F.element_at(same, -1)
-        return F.struct(first["k"].alias("k"), name.alias("phrase"), first["cw"].alias("cw"), last["boxes"].alias("boxes"))
+    def merged(own, names):
+        def of_name(name):
+            def entry(same):
+                first, last = F.element_at(same, 1), F.element_at(same, -1)
+                return F.struct(first["k"].alias("k"), name.alias("phrase"), first["cw"].alias("cw"), last["boxes"].alias("boxes"))
+
+            return let(F.filter(own, lambda c: c["phrase"] == name), entry)
 
-    return F.when(F.size(names) == F.size(own), own).otherwise(F.transform(names, merged))
+        return F.when(F.size(names) == F.size(own), own).otherwise(F.transform(names, of_name))
+
+    free = F.transform(F.filter(of, lambda c: c["rule"].isNull()), lambda c: F.struct(c["k"], c["phrase"], c["cw"], c["boxes"]))
+    return let(free, lambda own: let(F.array_distinct(F.transform(own, lambda c: c["phrase"])), lambda names: merged(own, names)))
 
 
 def without_synonyms(of: Column) -> Column:
     """Of phrases with one set of content words and boxes that nearly coincide, the most
     complete stays. Groups come in order of their first phrase, and so do results."""
-    keyed = F.transform(of, lambda c: F.struct(F.concat_ws(" ", F.array_sort(F.array_distinct(c["cw"]))).alias("key"), (-F.size(c["cw"])).alias("a"), (-F.length(c["phrase"])).alias("b"), c["k"], c["phrase"], c["cw"], c["boxes"]))
-    keys = F.array_distinct(F.transform(keyed, lambda c: c["key"]))
-    start = F.filter(keyed, lambda c: F.lit(False))
 
-    def best(key):
-        same = F.array_sort(F.filter(keyed, lambda c: c["key"] == key), lambda x, y: F.when(x["a"] != y["a"], x["a"] - y["a"]).when(x["b"] != y["b"], x["b"] - y["b"]).otherwise(x["k"] - y["k"]))
-        repeats = lambda kept, c: F.exists(kept, lambda k: F.exists(k["boxes"], lambda q: F.exists(c["boxes"], lambda b: geo.iou(b, q) > geo.SAME)))
-        return F.aggregate(same, start, lambda kept, c: F.when(repeats(kept, c), kept).otherwise(F.concat(kept, F.array(c))))
+    def repeats(kept, c):
+        return F.exists(kept, lambda k: F.exists(k["boxes"], lambda q: F.exists(c["boxes"], lambda b: geo.iou(b, q) > geo.SAME)))
 
-    chosen = F.when(F.size(keys) == F.size(keyed), keyed).otherwise(F.flatten(F.transform(keys, best)))
-    return F.transform(chosen, lambda c: F.struct(c["k"], c["phrase"], c["cw"], c["boxes"]))
+    def order(x, y):
+        return F.when(x["a"] != y["a"], x["a"] - y["a"]).when(x["b"] != y["b"], x["b"] - y["b"]).otherwise(x["k"] - y["k"])
+
+    def folded(same):
+        none = F.filter(same, lambda c: F.lit(False))
+        fold = F.aggregate(F.array_sort(same, order), none, lambda kept, c: F.when(repeats(kept, c), kept).otherwise(F.concat(kept, F.array(c))))
+        return F.when(F.size(same) == 1, same).otherwise(fold)
+
+    def chosen(keyed, keys):
+        best = lambda key: let(F.filter(keyed, lambda c: c["key"] == key), folded)
+        return F.when(F.size(keys) == F.size(keyed), keyed).otherwise(F.flatten(F.transform(keys, best)))
+
+    keyed = F.transform(of, lambda c: F.struct(F.concat_ws(" ", F.array_sort(F.array_distinct(c["cw"]))).alias("key"), (-F.size(c["cw"])).alias("a"), (-F.length(c["phrase"])).alias("b"), c["k"], c["phrase"], c["cw"], c["boxes"]))
+    picked = let(keyed, lambda own: let(F.array_distinct(F.transform(own, lambda c: c["key"])), lambda keys: chosen(own, keys)))
+    return F.transform(picked, lambda c: F.struct(c["k"], c["phrase"], c["cw"], c["boxes"]))
 
 
 def clean(ground: DataFrame, p: Profile, limit: int = 0) -> DataFrame:

@@ -106,7 +106,7 @@ def cleaned(name: str | Profile, p: str = "") -> str:
     counts = {n: f"CAST({size(i)} - {size(i + 1)} AS BIGINT)" for i, (n, _) in enumerate(steps)}
     by = "CASE " + " ".join(f"WHEN len(x{i + 1}) = 0 THEN '{n}'" for i, (n, _) in enumerate(steps)) + " END" if steps else "NULL"
     every = ", ".join(f"{counts.get(n, 'CAST(0 AS BIGINT)')} AS n_{n}" for n in ("dup", "area", "minpx", "ratio", "fullimg", "edge"))
-    out.append(f"{p}e AS (SELECT doc_id, k, phrase, norm, cw, raw, CASE WHEN rule0 IS NULL AND len(x{m}) = 0 THEN 'empty' ELSE rule0 END AS rule1, CASE WHEN rule0 IS NULL AND len(x{m}) = 0 THEN {by} END AS by, x{m} AS boxes, {every} FROM {p}s{m})")
+    out.append(f"{p}e AS (SELECT doc_id, k, phrase, norm, cw, raw, CASE WHEN rule0 IS NULL AND len(x{m}) = 0 THEN 'empty' ELSE rule0 END AS rule1, CASE WHEN rule0 IS NULL AND len(x{m}) = 0 THEN {by} END AS blamed, x{m} AS boxes, {every} FROM {p}s{m})")
     out.append(f"{p}v AS (SELECT doc_id, phrase, min(k) AS k, arg_max(boxes, k) AS boxes, arg_min(cw, k) AS cw FROM {p}e WHERE rule1 IS NULL GROUP BY doc_id, phrase)")
     if f.xdup:
         out.append(f"{p}x0 AS (SELECT *, array_to_string(list_sort(list_distinct(cw)), ' ') AS key FROM {p}v)")

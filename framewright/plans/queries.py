@@ -221,14 +221,14 @@ def _(spark, d):
     return clean.counters(fx.cleaned(spark, d, _FEW))
 
 
-@query("why_dropped", f"{sql.rec()} SELECT doc_id, k, phrase, coalesce(rule, 'kept') AS rule, by FROM cells")
+@query("why_dropped", f"{sql.rec()} SELECT doc_id, k, phrase, coalesce(rule, 'kept') AS rule, blamed FROM cells")
 def _(spark, d):
-    return clean.attribution(fx.cleaned(spark, d), "doc_id").drop("note")
+    return clean.attribution(fx.cleaned(spark, d), "doc_id").drop("note").withColumnRenamed("by", "blamed")
 
 
-@query("why_dropped_all_rules", f"WITH {sql.FIXTURE}, {sql.cleaned(_FEW)} SELECT doc_id, k, phrase, coalesce(rule, 'kept') AS rule, by FROM cells")
+@query("why_dropped_all_rules", f"WITH {sql.FIXTURE}, {sql.cleaned(_FEW)} SELECT doc_id, k, phrase, coalesce(rule, 'kept') AS rule, blamed FROM cells")
 def _(spark, d):
-    return clean.attribution(fx.cleaned(spark, d, _FEW), "doc_id").drop("note")
+    return clean.attribution(fx.cleaned(spark, d, _FEW), "doc_id").drop("note").withColumnRenamed("by", "blamed")
 
 
 @query("drop_matrix", f"WITH {sql.FIXTURE}, {sql.cleaned('c', 'c_')}, {sql.cleaned('rec', 'r_')} SELECT doc_id, a.k AS k, a.phrase AS phrase, coalesce(a.rule, 'kept') AS c, coalesce(b.rule, 'kept') AS rec FROM c_cells a JOIN r_cells b USING (doc_id, k)")
