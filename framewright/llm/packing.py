@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 SEQUENCE = 2048
 END = 0
 GROUP = 20_000
+#: Steps of the search in one group.
+STEPS = 300
 CACHE = 250_000
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -144,25 +146,33 @@ class Bins:
             by_free[f - n].append(b)
             mask |= 1 << (f - n)
 
-    def search(self) -> None:
-        """Empty the emptiest bins into others while that saves a bin."""
+    def search(self, steps: int = STEPS) -> None:
+        """From the emptiest bin on, give to fuller ones. After any step the emptiest is
+        tried again; the end comes when no bin can give, no bin is left to save, or all
+        ``steps`` are taken."""
         least = -(-int(self.lengths.sum()) // self.size)
+        used = sum(map(bool, self.items))
         tried: set[int] = set()
-        while sum(map(bool, self.items)) > least:
-            donors = [b for b in range(len(self.items)) if self.items[b] and b not in tried and self.free[b]]
+        while used > least and steps > 0:
+            donors = [b for b in range(len(self.items)) if self.items[b] and self.free[b] and b not in tried]
             if not donors:
                 return
             donor = max(donors, key=lambda b: (self.free[b], -b))
+            taken = self._empty(donor, steps)
+            steps -= taken + 1
+            if taken:
+                tried.clear()
+                used = sum(map(bool, self.items))
             tried.add(donor)
-            self._empty(donor)
 
-    def _empty(self, donor: int) -> None:
-        """Steps from ``donor`` to fuller bins, each of which makes it emptier."""
-        while self.items[donor]:
+    def _empty(self, donor: int, steps: int) -> int:
+        """Steps from ``donor`` to bins at least as full, each of which makes it emptier; their number."""
+        taken = 0
+        while self.items[donor] and taken < steps:
             # items of other underfull bins at least as full: (bin, place, length, room once it is out)
             others = [b for b in range(len(self.items)) if b != donor and self.items[b] and 0 < self.free[b] <= self.free[donor]]
             if not others:
-                return
+                return taken
             own = self.items[donor]
             y = self.lengths[own]
             free = np.array([self.free[b] for b in others])
@@ -189,7 +199,7 @@ class Bins:
                 if len(fits) and total - int(x[fits[0]]) > best[0]:
                     best = (total - int(x[fits[0]]), ("swap", ks, int(others[at[fits[0]]]), int(place[fits[0]])))
             if best[1] is None:
-                return
+                return taken
             _, ks, b, back = best[1]
             given = [own[k] for k in ks]
             self.items[donor] = [i for k, i in enumerate(own) if k not in ks]
@@ -198,6 +208,8 @@ class Bins:
             self.items[b] += given
             for c in (donor, b):
                 self.free[c] = self.size - int(self.lengths[self.items[c]].sum()) if self.items[c] else self.size
+            taken += 1
+        return taken
 
 
 def assign(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
