@@ -401,7 +401,7 @@ def _(spark, d):
     return report.top_rejected(fx.verdicts(spark, d))
 
 
-@query("yes_per_image", f"{_VF}, e AS (SELECT path, count(*) FILTER (WHERE verdict = 'YES') AS yes FROM vf GROUP BY path) SELECT count(*) AS n_img, round(avg(yes), 6) AS mean_yes, round(avg(CASE WHEN yes > 0 THEN 1.0 ELSE 0.0 END), 6) AS share_with_yes FROM e")
+@query("yes_per_image", f"{_VF}, im AS (SELECT path, count(*) FILTER (WHERE verdict = 'YES') AS yes FROM vf GROUP BY path) SELECT count(*) AS n_img, round(avg(yes), 6) AS mean_yes, round(avg(CASE WHEN yes > 0 THEN 1.0 ELSE 0.0 END), 6) AS share_with_yes FROM im")
 def _(spark, d):
     return report.yes_per_image(fx.verdicts(spark, d)).withColumns({c: F.round(c, 6) for c in ("mean_yes", "share_with_yes")})
 
