@@ -228,3 +228,8 @@ def counters(cleaned: DataFrame) -> DataFrame:
     row = cleaned.agg(*sums)
     units = ", ".join(f"'{r}', '{'box' if r in BOX_RULES else 'phrase'}', coalesce({r}, 0L)" for r in [*BOX_RULES, *PHRASE_RULES])
     return row.selectExpr(f"stack({len(BOX_RULES) + len(PHRASE_RULES)}, {units}) as (rule, unit, n)").where("n > 0").orderBy(F.desc("n"), "rule")
+
+
+def needed_captions(captions: DataFrame, ground: DataFrame) -> DataFrame:
+    """Captions of the paths that ``ground`` has; the keys meet their like before the join."""
+    return captions.join(ground.select("path").distinct(), "path", "left_semi")

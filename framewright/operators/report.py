@@ -115,3 +115,18 @@ def markdown(rows: DataFrame, head: list[str] | None = None) -> str:
     lines = ["| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
     lines += ["| " + " | ".join("" if v is None else f"{v:.4g}" if isinstance(v, float) else str(v) for v in r) + " |" for r in rows.collect()]
     return "\n".join(lines)
+
+
+def rule_hits(attributed: DataFrame, *ids: str) -> DataFrame:
+    """ids, rule, n: how often each rule was to blame; phrases that stay don't count."""
+    return attributed.where("rule <> 'kept'").groupBy(*ids, "rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def review_order(attributed: DataFrame) -> DataFrame:
+    """``attributed`` with ``place``: 1 for the rule that took most in all, and so on; phrases
+    that stay come last. The rules are few, so their ranks are sent to the rows."""
+    total = rule_hits(attributed)
+    ranks = total.crossJoin(F.broadcast(total.select(F.col("n").alias("m"), F.col("rule").alias("other"))))  # a dozen rules
+    ahead = F.count_if((F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("other") < F.col("rule"))))
+    place = ranks.groupBy("rule").agg((ahead + 1).alias("place"))
+    return attributed.join(F.broadcast(place), "rule", "left").withColumn("place", F.coalesce("place", F.lit(99)))

@@ -532,6 +532,42 @@ def _(spark, d):
     return _rounded(legacy.jaccard(both, "c", "rec"))
 
 
+@query("needed_captions", f"WITH {sql.FIXTURE} SELECT 'doc/' || doc_id AS path, n_chars < 200 AS failed FROM documents WHERE doc_id IN (SELECT doc_id FROM fx WHERE doc_id % 10 = 3)")
+def _(spark, d):
+    ground = fx.grounding(spark, d).where("doc_id % 10 = 3")
+    return clean.needed_captions(fx.captions(spark, d), ground).select("path", F.col("error").isNotNull().alias("failed"))
+
+
+_HITS = f"{sql.rec()}, h AS (SELECT doc_id, k, phrase, rule FROM cells)"
+
+
+@query("rule_hits_per_image", f"{_HITS} SELECT doc_id, rule, count(*) AS n FROM h WHERE rule IS NOT NULL GROUP BY ALL")
+def _(spark, d):
+    return report.rule_hits(clean.attribution(fx.cleaned(spark, d), "doc_id"), "doc_id")
+
+
+@query("review_order", f"{_HITS}, t AS (SELECT rule, row_number() OVER (ORDER BY count(*) DESC, rule) AS place FROM h WHERE rule IS NOT NULL GROUP BY rule) SELECT doc_id, k, coalesce(h.rule, 'kept') AS rule, coalesce(place, 99) AS place FROM h LEFT JOIN t ON t.rule = h.rule")
+def _(spark, d):
+    rows = clean.attribution(fx.cleaned(spark, d), "doc_id").select("doc_id", "k", "rule")
+    return report.review_order(rows).select("doc_id", "k", "rule", "place")
+
+
+@query("sample_verified_only", f"{_VF} SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM vf WHERE verdict = 'YES') ORDER BY md5(doc_id || '|2'), doc_id LIMIT 40")
+def _(spark, d):
+    seen = fx.verdicts(spark, d).where("verdict = 'YES'").select("doc_id").distinct()
+    return sampling.sample(fx.table(spark, d, "documents").select("doc_id").join(seen, "doc_id", "left_semi"), 40, 2, "doc_id")
+
+
+@query("review_rows", f"WITH {sql.FIXTURE}, {sql.cleaned('rec')}, {sql.VERDICTS}, {_CHAINS} SELECT d.doc_id AS id, f.caption AS caption, (SELECT count(*) FROM vf v WHERE v.doc_id = d.doc_id) AS n_verdicts, (SELECT max(v.verdict) FROM vf v WHERE v.doc_id = d.doc_id AND v.phrase = q.phrase) AS first_verdict FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN kept q ON q.doc_id = d.doc_id AND q.k = 0")
+def _(spark, d):
+    work, fl, _ = _chains(spark, d)
+    v = fx.verdicts(spark, d)
+    said = v.select(F.col("doc_id").alias("id"), "phrase", "verdict")
+    first = v.where("k = 0").select(F.col("doc_id").alias("id"), F.col("phrase").alias("first"))
+    rows = legacy.review_rows(legacy.merge_chains(work, {"fl": fl}), first, said)
+    return rows.select("id", "fl.caption", F.greatest(F.size(F.coalesce("verdicts", F.create_map().cast("map<string,string>"))), F.lit(0)).alias("n_verdicts"), F.try_element_at("verdicts", F.col("crossfeed.first")).alias("first_verdict"))
+
+
 # --- streams and model stages: rows only
 
 
