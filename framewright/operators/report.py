@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as txt
 
@@ -104,8 +105,8 @@ def effective(densities: DataFrame, precisions: DataFrame, first: str) -> DataFr
     """variant, density, precision, effective = density x precision, and the change of both
     against variant ``first``: points, absolute and percent."""
     rows = densities.join(precisions, "variant").withColumn("effective", F.col("density") * F.col("precision"))
-    base = rows.where(F.col("variant") == first).select(F.col("precision").alias("p0"), F.col("effective").alias("e0"))
-    both = rows.crossJoin(F.broadcast(base))  # one row
+    of_first = lambda c: F.max(F.when(F.col("variant") == first, F.col(c))).over(Window.partitionBy(F.lit(0)))  # noqa: E731  a few rows
+    both = rows.withColumns({"p0": of_first("precision"), "e0": of_first("effective")})
     return both.select("variant", "density", "precision", "effective", (100 * (F.col("precision") - F.col("p0"))).alias("points"), (F.col("effective") - F.col("e0")).alias("gain"), (100 * (F.try_divide("effective", "e0") - 1)).alias("gain_pct"))
 
 
@@ -125,8 +126,6 @@ def rule_hits(attributed: DataFrame, *ids: str) -> DataFrame:
 def review_order(attributed: DataFrame) -> DataFrame:
     """``attributed`` with ``place``: 1 for the rule that took most in all, and so on; phrases
     that stay come last. The rules are few, so their ranks are sent to the rows."""
-    total = rule_hits(attributed)
-    ranks = total.crossJoin(F.broadcast(total.select(F.col("n").alias("m"), F.col("rule").alias("other"))))  # a dozen rules
-    ahead = F.count_if((F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("other") < F.col("rule"))))
-    place = ranks.groupBy("rule").agg((ahead + 1).alias("place"))
+    total = rule_hits(attributed)  # a dozen rows
+    place = total.select("rule", F.row_number().over(Window.orderBy(F.desc("n"), "rule")).alias("place"))
     return attributed.join(F.broadcast(place), "rule", "left").withColumn("place", F.coalesce("place", F.lit(99)))

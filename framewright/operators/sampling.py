@@ -68,12 +68,11 @@ def nearest_ranks(df: DataFrame, value: str, ps: list[float]) -> DataFrame:
     """p, value at index floor(n p) of the sorted values. Values are counted first, so what
     is ranked is the distinct values, not the rows."""
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    upto = counts.select("v", F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    total = counts.agg(F.sum("n").alias("total"))
-    wanted = df.sparkSession.range(1).select(F.explode(F.array(*(F.lit(float(p)) for p in ps))).alias("p"))
-    at = F.least(F.floor(F.col("total") * F.col("p")), F.col("total") - 1)
-    places = total.where("total is not null").join(F.broadcast(wanted)).select("p", at.alias("at"))
-    return upto.join(F.broadcast(places), F.col("upto") > F.col("at")).groupBy("p").agg(F.min("v").alias("value"))
+    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.select("v", upto.alias("upto"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"))
+    at = lambda p: F.least(F.floor(F.col("total") * p), F.col("total") - 1)
+    row = ranked.agg(*(F.min(F.when(F.col("upto") > at(p), F.col("v"))).alias(f"v{i}") for i, p in enumerate(ps)))
+    return row.selectExpr(f"stack({len(ps)}, " + ", ".join(f"{float(p)}D, v{i}" for i, p in enumerate(ps)) + ") as (p, value)").where("value is not null")
 
 
 def truncation_bias(raw: DataFrame, max_phrases: int = 12, phrases: str = "grounding") -> DataFrame:
