@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 
 from .common import crc_remainder
 
-MAX_TRAIN = 12_000
+MAX_TRAIN = 8_000
 N_FEATURES = 6_000
 SENTENCE = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 CACHE = 300_000
+SLICE = 1_000
 
 
 def word_features(word: str) -> list[int]:
@@ -114,11 +115,13 @@ def fit_bags(rows: list[tuple[int, bytes, bytes]], n_features: int = N_FEATURES,
     if y.min() == y.max():
         return Model(leak=float(np.clip(y.mean(), 0.01, 0.99)))
     # document frequencies by label choose the features
-    per_doc = [np.unique(np.frombuffer(r[1], np.uint32)) for r in rows]
-    ids, inverse = np.unique(np.concatenate(per_doc), return_inverse=True)
-    owner = np.repeat(y, [len(p) for p in per_doc])
-    pos = np.bincount(inverse, weights=owner, minlength=len(ids))
-    neg = np.bincount(inverse, minlength=len(ids)) - pos
+    ids, pos, neg = np.zeros(0, np.uint32), np.zeros(0), np.zeros(0)
+    for a in range(0, len(rows), SLICE):  # some documents at a time, to bound memory
+        own = [np.unique(np.frombuffer(r[1], np.uint32)) for r in rows[a : a + SLICE]]
+        label = np.repeat(y[a : a + SLICE], [len(x) for x in own])
+        ids, of = np.unique(np.concatenate([ids, *own]), return_inverse=True)
+        pos = np.bincount(of, weights=np.concatenate([pos, label]))
+        neg = np.bincount(of, weights=np.concatenate([neg, 1.0 - label]))
     n1, n0 = y.sum(), len(y) - y.sum()
     odds = np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))
     weight = odds * np.sqrt(pos)
