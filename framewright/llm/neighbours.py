@@ -2,12 +2,13 @@
 
 Vectors are put into inverted lists by the centroid of the largest dot product. In its
 list a vector is known by the codes of its residual: the nearest of 256 codewords in each
-of 8 subspaces, and by the length of what the codes miss. A query reads a list if the
+subspace of 8 components, and by the least product that a linked query can have with the
+vector the codes stand for. A query reads a list if the
 list could hold a linked vector: the centroid's product falls short of the best by no
 more than ``SIGMAS`` standard deviations of what a link of the least cosine can shift it.
-There, distances are summed from a table of the query's products with all codewords;
-what may reach the least cosine, given the length that the codes miss, is computed
-exactly, in double precision. Links below the least cosine are never returned.
+There, products with the decoded vectors are compared with that least product, which is
+a true bound (by the angles between query, vector and decoded vector), so the codes lose
+no link; what passes is computed exactly, in double precision. Links below the least cosine are never returned.
 
 Vectors with equal directions count as one all the way, with their number. Lists are read
 by blocks of vectors against blocks of queries, each in a task of its own, so no list
@@ -40,7 +41,8 @@ LEAST = 0.9
 SAMPLE = 16_384
 SAMPLE_BYTES = 32 << 20
 MAX_LISTS = 4096
-SUBSPACES = 8
+#: Components of one subspace.
+DIMS = 8
 CODEWORDS = 256
 SIGMAS = 4.0
 MEMBERS, QUERIES = 1024, 4096
@@ -92,8 +94,7 @@ class Index:
         lists = max(1, min(MAX_LISTS, int(math.sqrt(n)), len(sample) // 8))
         self.centroids = _means(sample.astype(np.float32), lists, 8, rng, True)
         residual = sample.astype(np.float32) - self.centroids[(sample @ self.centroids.T).argmax(1)]
-        s = self.width // SUBSPACES
-        self.codewords = np.stack([_means(np.ascontiguousarray(residual[:, m * s : m * s + s]), CODEWORDS, 6, rng, False) for m in range(SUBSPACES)])
+        self.codewords = np.stack([_means(np.ascontiguousarray(residual[:, a : a + DIMS]), CODEWORDS, 6, rng, False) for a in range(0, self.width, DIMS)])
         self.spread = math.sqrt(2 - 2 * least)
         self.apart = np.sqrt(np.maximum(0.0, 2 - 2 * self.centroids @ self.centroids.T))
 
@@ -105,17 +106,23 @@ class Index:
         return out
 
     def encode(self, x: np.ndarray):
-        """list, codes, length of what the codes miss."""
+        """list, codes, least product that a query linked with x can have with what the codes stand for."""
         x = x.astype(np.float32)
         of = (x @ self.centroids.T).argmax(1)
         residual = x - self.centroids[of]
-        s = self.width // SUBSPACES
-        codes, missed = np.empty((len(x), SUBSPACES), np.uint8), np.zeros(len(x), np.float32)
-        for m in range(SUBSPACES):
-            part = residual[:, m * s : m * s + s]
-            codes[:, m] = (part @ self.codewords[m].T - 0.5 * (self.codewords[m] ** 2).sum(1)).argmax(1)
-            missed += ((part - self.codewords[m][codes[:, m]]) ** 2).sum(1)
-        return of, codes, np.sqrt(missed)
+        codes = np.empty((len(x), len(self.codewords)), np.uint8)
+        for m, words in enumerate(self.codewords):
+            part = residual[:, m * DIMS : m * DIMS + DIMS]
+            codes[:, m] = (part @ words.T - 0.5 * (words**2).sum(1)).argmax(1)
+        seen = self.decode(of, codes).astype(float)
+        length = np.sqrt((seen**2).sum(1))
+        # a linked query is within the angle of ``least`` of x, so within the sum of both angles of what is seen
+        angle = np.arccos(np.clip((x * seen).sum(1) / np.maximum(length, 1e-9), -1, 1)) + math.acos(self.least)
+        return of, codes, (length * np.cos(np.minimum(angle, math.pi)) - 1e-3).astype(np.float32)
+
+    def decode(self, of, codes: np.ndarray) -> np.ndarray:
+        """The vectors that the codes stand for."""
+        return self.centroids[of] + np.hstack([words[codes[:, m]] for m, words in enumerate(self.codewords)])
 
     def probes(self, x: np.ndarray) -> np.ndarray:
         """Which lists (columns) each query (row) must read."""
@@ -124,16 +131,9 @@ class Index:
         short = score[np.arange(len(x)), best][:, None] - score
         return short <= SIGMAS * self.spread * self.apart[best] / math.sqrt(self.width) + 1e-6
 
-    def links(self, x: np.ndarray, y: np.ndarray, of: int, codes: np.ndarray, missed: np.ndarray) -> np.ndarray:
-        """Which of the list's members y (columns) each query x (row) is linked with."""
-        s = self.width // SUBSPACES
-        near = np.repeat((x.astype(np.float32) @ self.centroids[of])[:, None], len(y), axis=1)
-        for m in range(SUBSPACES):
-            table = x[:, m * s : m * s + s].astype(np.float32) @ self.codewords[m].T
-            near += table[:, codes[:, m]]
-        # the length missed is an upper bound of the error; along a given direction it is much less
-        allowed = np.minimum(1.0, (SIGMAS + 1) / math.sqrt(self.width)) * missed + 1e-5
-        i, j = np.nonzero(near >= self.least - allowed[None, :])
+    def links(self, x: np.ndarray, y: np.ndarray, seen: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Which of the members y (columns), seen by their codes, each query x (row) is linked with."""
+        i, j = np.nonzero(x.astype(np.float32) @ seen.T >= reach[None, :])
         out = np.zeros((len(x), len(y)), bool)
         for a in range(0, len(i), 65536):
             p, q = i[a : a + 65536], j[a : a + 65536]
@@ -164,7 +164,7 @@ def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
 
 def fit(classes: DataFrame, n: int, least: float) -> Index:
     width = max(1, classes.agg(F.max("dim")).first()[0] or 1)
-    width = -(-width // SUBSPACES) * SUBSPACES
+    width = -(-width // DIMS) * DIMS
     rows = classes.orderBy("cls").limit(max(256, min(SAMPLE, SAMPLE_BYTES // (8 * width)))).select("unit").collect()
     sample = np.zeros((len(rows), width))
     for row, r in zip(sample, rows):
@@ -185,11 +185,11 @@ def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFra
     def encode(batches):
         for batch in batches:
             index = shared.value
-            of, codes, missed = index.encode(index.matrix(batch.column("unit").to_pylist()))
+            of, codes, reach = index.encode(index.matrix(batch.column("unit").to_pylist()))
             lists = np.array(batch.column("dim").to_numpy(), np.int64) * MAX_LISTS + of
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "unit", "dim", "m")), pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed)], ["cls", "unit", "dim", "m", "list", "codes", "missed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "unit", "dim", "m")), pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(reach)], ["cls", "unit", "dim", "m", "list", "codes", "reach"])
 
-    members = written(classes.select("cls", "unit", "dim", "m").mapInArrow(encode, "cls long, unit binary, dim int, m long, list long, codes binary, missed float"), "codes")
+    members = written(classes.select("cls", "unit", "dim", "m").mapInArrow(encode, "cls long, unit binary, dim int, m long, list long, codes binary, reach float"), "codes")
 
     def probes(batch):
         """For each query of a batch the lists to read."""
@@ -220,7 +220,7 @@ def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFra
                 block += [c % nm] * nq
                 part += range(nq)
             taken = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column("list"), pa.array(block, pa.int32()), pa.array(part, pa.int32()), *(taken.column(c) for c in ("cls", "unit", "m", "codes", "missed"))], ["list", "block", "part", "cls", "unit", "m", "codes", "missed"])
+            yield pa.RecordBatch.from_arrays([taken.column("list"), pa.array(block, pa.int32()), pa.array(part, pa.int32()), *(taken.column(c) for c in ("cls", "unit", "m", "codes", "reach"))], ["list", "block", "part", "cls", "unit", "m", "codes", "reach"])
 
     def asking(batches):
         """Queries go to all blocks of members of the lists they read, each in one block of queries."""
@@ -244,11 +244,12 @@ def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFra
         if y.num_rows and x.num_rows:
             mine, weights = y.column("cls").to_numpy(), y.column("m").to_numpy()
             ym = index.matrix(y.column("unit").to_pylist())
-            codes = np.frombuffer(b"".join(y.column("codes").to_pylist()), np.uint8).reshape(-1, SUBSPACES)
+            codes = np.frombuffer(b"".join(y.column("codes").to_pylist()), np.uint8).reshape(y.num_rows, -1)
+            seen, reach = index.decode(key[0].as_py() % MAX_LISTS, codes), y.column("reach").to_numpy()
             for a in range(0, x.num_rows, 1024):
                 part = x.slice(a, 1024)
                 theirs = part.column("cls").to_numpy()
-                hit = index.links(index.matrix(part.column("unit").to_pylist()), ym, key[0].as_py() % MAX_LISTS, codes, y.column("missed").to_numpy())
+                hit = index.links(index.matrix(part.column("unit").to_pylist()), ym, seen, reach)
                 hit &= theirs[:, None] != mine[None, :]
                 total = hit @ weights
                 own = np.flatnonzero(total)
@@ -260,7 +261,7 @@ def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFra
         k, e = len(rows["cls"]), len(rows["u"])
         return pa.table({"cls": pa.array(rows["cls"] + [None] * e, pa.int64()), "links": pa.array(rows["links"] + [None] * e, pa.int64()), "u": pa.array([None] * k + rows["u"], pa.int64()), "v": pa.array([None] * k + rows["v"], pa.int64())})
 
-    left = members.mapInArrow(placed, "list long, block int, part int, cls long, unit binary, m long, codes binary, missed float").groupBy("list", "block", "part")
+    left = members.mapInArrow(placed, "list long, block int, part int, cls long, unit binary, m long, codes binary, reach float").groupBy("list", "block", "part")
     right = members.select("cls", "unit", "dim").mapInArrow(asking, "list long, block int, part int, cls long, unit binary").groupBy("list", "block", "part")
     found = written(left.cogroup(right).applyInArrow(compared, "cls long, links long, u long, v long"), "links")
     return found.where("cls is not null").groupBy("cls").agg(F.sum("links").alias("links")), found.where("u is not null").select("u", "v")

@@ -64,3 +64,22 @@ def test_spanning_connects_what_is_linked():
         assert len(pairs) <= 70 and all(hit[i, j] for i, j in pairs)
         both = lambda m: plain_components(nodes, lambda a, b: a[0] != b[0] and m(*((b[1], a[1]) if a[0] == "c" else (a[1], b[1]))))
         assert both(lambda i, j: hit[i, j]) == both(lambda i, j: (i, j) in pairs)
+
+
+def linked_pairs(rng, n, width, cosine=0.92, spectrum=1.0):
+    """n random unit vectors, and for each of the first n // 10 one at that cosine."""
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(n, width)) * spectrum)
+    z = rng.normal(size=(n // 10, width)) * spectrum
+    z = unit(z - (z * x[: n // 10]).sum(1, keepdims=True) * x[: n // 10])
+    return x, cosine * x[: n // 10] + np.sqrt(1 - cosine**2) * z
+
+
+def test_codes_lose_no_link():
+    rng = np.random.default_rng(8)
+    for width in (64, 128, 384, 768):
+        x, q = linked_pairs(rng, 1000, width)
+        index = neighbours.Index(x, len(x), 0.9)
+        of, codes, reach = index.encode(x)
+        hit = index.links(q, x, index.decode(of, codes), reach)
+        assert (hit == (q @ x.T >= 0.9)).all() and hit.diagonal().all()
