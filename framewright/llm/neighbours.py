@@ -5,18 +5,21 @@ list a vector is known by the codes of its residual: the nearest of 256 codeword
 subspace of 8 components, and by the least product that a linked query can have with the
 vector the codes stand for. A query reads a list if the
 list could hold a linked vector: the centroid's product falls short of the best by no
-more than ``SIGMAS`` standard deviations of what a link of the least cosine can shift it.
-There, products with the decoded vectors are compared with that least product, which is
+more than a link of the least cosine can shift it in any direction. There, products with the decoded vectors are compared with that least product, which is
 a true bound (by the angles between query, vector and decoded vector), so the codes lose
 no link; what passes is computed exactly, in double precision. Links below the least cosine are never returned.
 
-Vectors with equal directions count as one all the way, with their number. Lists are read
-by blocks of vectors against blocks of queries, each in a task of its own, so no list
-must fit in one; a block returns sums for each query and edges that connect what is
+Vectors with equal directions count as one all the way, with their number. Near lists are
+put together in groups; groups are read by blocks of vectors against blocks of queries,
+each in a task of its own, so no list must fit in one; a block returns sums for each query and edges that connect what is
 linked, never all pairs.
 
-The index (centroids, codewords) is fitted on a bounded sample, the ``SAMPLE`` distinct
-vectors of the smallest hash, at most SAMPLE_BYTES; every vector is indexed and is a query.
+Each length of vectors has an index (centroids, codewords) of its own, fitted on a bounded
+sample, about ``SAMPLE`` distinct vectors of the smallest hash, at most SAMPLE_BYTES in all;
+every vector is indexed and is a query.
+
+Both bounds hold for any data, so all links are found. They leave out much only where
+vectors lie in few dimensions; random directions are compared nearly all with all.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing, and so do vectors of different lengths. Rows with null ids
@@ -44,8 +47,8 @@ MAX_LISTS = 4096
 #: Components of one subspace.
 DIMS = 8
 CODEWORDS = 256
-SIGMAS = 4.0
-MEMBERS, QUERIES = 1024, 4096
+#: Vectors of a block, if they have 128 components at most; fewer if they are longer.
+MEMBERS, QUERIES = 8192, 32768
 
 
 def units(df: DataFrame) -> DataFrame:
@@ -85,8 +88,16 @@ def _means(x: np.ndarray, k: int, rounds: int, rng, normed: bool) -> np.ndarray:
     return centres
 
 
+def matrix(packed: list[bytes], width: int) -> np.ndarray:
+    out = np.zeros((len(packed), width))
+    for row, u in zip(out, packed):
+        v = np.frombuffer(u)
+        row[: len(v)] = v
+    return out
+
+
 class Index:
-    """Centroids of the lists and codewords of the subspaces; ``width`` is the padded length."""
+    """Centroids of the lists and codewords of the subspaces, for vectors of one length; ``width`` is the padded length."""
 
     def __init__(self, sample: np.ndarray, n: int, least: float, seed: int = 11):
         rng = np.random.default_rng(seed)
@@ -94,16 +105,9 @@ class Index:
         lists = max(1, min(MAX_LISTS, int(math.sqrt(n)), len(sample) // 8))
         self.centroids = _means(sample.astype(np.float32), lists, 8, rng, True)
         residual = sample.astype(np.float32) - self.centroids[(sample @ self.centroids.T).argmax(1)]
-        self.codewords = np.stack([_means(np.ascontiguousarray(residual[:, a : a + DIMS]), CODEWORDS, 6, rng, False) for a in range(0, self.width, DIMS)])
+        words = min(CODEWORDS, len(sample))
+        self.codewords = np.stack([_means(np.ascontiguousarray(residual[:, a : a + DIMS]), words, 6, rng, False) for a in range(0, self.width, DIMS)])
         self.spread = math.sqrt(2 - 2 * least)
-        self.apart = np.sqrt(np.maximum(0.0, 2 - 2 * self.centroids @ self.centroids.T))
-
-    def matrix(self, packed: list[bytes]) -> np.ndarray:
-        out = np.zeros((len(packed), self.width))
-        for row, u in zip(out, packed):
-            v = np.frombuffer(u)
-            row[: len(v)] = v
-        return out
 
     def encode(self, x: np.ndarray):
         """list, codes, least product that a query linked with x can have with what the codes stand for."""
@@ -126,10 +130,27 @@ class Index:
 
     def probes(self, x: np.ndarray) -> np.ndarray:
         """Which lists (columns) each query (row) must read."""
-        score = x.astype(np.float32) @ self.centroids.T
+        x = x.astype(np.float32)
+        score = x @ self.centroids.T
         best = score.argmax(1)
-        short = score[np.arange(len(x)), best][:, None] - score
-        return short <= SIGMAS * self.spread * self.apart[best] / math.sqrt(self.width) + 1e-6
+        square = (self.centroids**2).sum(1)
+        apart = np.sqrt(np.maximum(0, square[best][:, None] + square - 2 * self.centroids[best] @ self.centroids.T) + 1e-6)
+        # a member of the list is no nearer to the best centroid than to its own, and no further from the query than ``spread``
+        return score[np.arange(len(x)), best][:, None] - score <= self.spread * apart + 1e-5
+
+    def groups(self, sizes: dict[int, int], most: int) -> list[list[int]]:
+        """The lists in groups of at most ``most`` members (or of one list), each followed by the nearest that is left."""
+        out, left, at, total = [], np.array(sorted(sizes)), None, 0
+        while len(left):
+            k = 0 if at is None else int((self.centroids[left] @ self.centroids[at]).argmax())
+            at = int(left[k])
+            left = np.delete(left, k)
+            if not out or total + sizes[at] > most:
+                out.append([])
+                total = 0
+            out[-1].append(at)
+            total += sizes[at]
+        return out
 
     def links(self, x: np.ndarray, y: np.ndarray, seen: np.ndarray, reach: np.ndarray) -> np.ndarray:
         """Which of the members y (columns), seen by their codes, each query x (row) is linked with."""
@@ -162,96 +183,131 @@ def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def fit(classes: DataFrame, n: int, least: float) -> Index:
-    width = max(1, classes.agg(F.max("dim")).first()[0] or 1)
-    width = -(-width // DIMS) * DIMS
-    rows = classes.orderBy("cls").limit(max(256, min(SAMPLE, SAMPLE_BYTES // (8 * width)))).select("unit").collect()
-    sample = np.zeros((len(rows), width))
-    for row, r in zip(sample, rows):
-        v = np.frombuffer(r["unit"])
-        row[: len(v)] = v
-    return Index(sample, n, least)
+def fit(classes: DataFrame, counts: dict[int, int], least: float) -> dict[int, Index]:
+    """An index for each length of vectors, from about as many vectors of the smallest hashes as share SAMPLE_BYTES."""
+    tops, widths = [], {dim: -(-dim // DIMS) * DIMS for dim in counts}
+    for dim, n in counts.items():
+        most = max(16, min(SAMPLE, SAMPLE_BYTES // (8 * widths[dim] * len(counts))))
+        tops.append((dim, 2**63 - 1 if most >= n else int(2**64 * (most / n)) - 2**63))
+    top = classes.sparkSession.createDataFrame(tops, "dim int, top long")
+    samples = {dim: [] for dim in counts}
+    for r in classes.join(F.broadcast(top), "dim").where("cls <= top").orderBy("cls").select("dim", "unit").collect():
+        samples[r["dim"]].append(r["unit"])
+    return {dim: Index(matrix(own, widths[dim]) if own else np.eye(1, widths[dim]), counts[dim], least) for dim, own in samples.items()}
+
+
+def by_dim(batch: pa.RecordBatch):
+    """(dim, places, packed vectors) for each length of vectors of a batch."""
+    dims, packed = batch.column("dim").to_numpy(), batch.column("unit").to_pylist()
+    for dim in np.unique(dims).tolist():
+        at = np.flatnonzero(dims == dim)
+        yield dim, at, [packed[k] for k in at.tolist()]
 
 
 def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """Of distinct directions (cls, unit, dim, m): (cls, links), the sum of the ``m`` of the
     others linked; and (u, v), edges that connect them."""
     spark = classes.sparkSession
-    n = classes.count()
-    if not n:
+    counts = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
+    if not counts:
         return spark.createDataFrame([], "cls long, links long"), spark.createDataFrame([], "u long, v long")
-    shared = spark.sparkContext.broadcast(fit(classes, n, least))
+    indexes = fit(classes, counts, least)
+    shared = spark.sparkContext.broadcast(indexes)
 
     def encode(batches):
         for batch in batches:
-            index = shared.value
-            of, codes, reach = index.encode(index.matrix(batch.column("unit").to_pylist()))
-            lists = np.array(batch.column("dim").to_numpy(), np.int64) * MAX_LISTS + of
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "unit", "dim", "m")), pa.array(lists), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(reach)], ["cls", "unit", "dim", "m", "list", "codes", "reach"])
+            lists, codes, reach = np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows, np.zeros(batch.num_rows, np.float32)
+            for dim, at, packed in by_dim(batch):
+                index = shared.value[dim]
+                of, own, reach[at] = index.encode(matrix(packed, index.width))
+                lists[at] = dim * MAX_LISTS + of
+                for k, c in zip(at.tolist(), own):
+                    codes[k] = c.tobytes()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "unit", "dim", "m")), pa.array(lists), pa.array(codes, pa.binary()), pa.array(reach)], ["cls", "unit", "dim", "m", "list", "codes", "reach"])
 
     members = written(classes.select("cls", "unit", "dim", "m").mapInArrow(encode, "cls long, unit binary, dim int, m long, list long, codes binary, reach float"), "codes")
 
+    # a row for each list: at most MAX_LISTS for each length of vectors
+    sizes: dict[int, dict[int, int]] = {}
+    for r in members.groupBy("list").count().collect():
+        sizes.setdefault(r["list"] // MAX_LISTS, {})[r["list"] % MAX_LISTS] = r["count"]
+    block = lambda rows, dim: max(1, min(rows, rows * 128 // dim))
+    # groups of lists of one length, each named by its first list
+    groups = {dim: indexes[dim].groups(own, block(MEMBERS, dim)) for dim, own in sizes.items()}
+    group_of = {dim * MAX_LISTS + a: dim * MAX_LISTS + own[0] for dim, all_own in groups.items() for own in all_own for a in own}
+    grouped = spark.sparkContext.broadcast((groups, group_of))
+
     def probes(batch):
-        """For each query of a batch the lists to read."""
-        index = shared.value
-        hit = index.probes(index.matrix(batch.column("unit").to_pylist()))
-        row, of = np.nonzero(hit)
-        return row, np.array(batch.column("dim").to_numpy(), np.int64)[row] * MAX_LISTS + of
+        """For each query of a batch the groups to read, each once."""
+        rows, names = [], []
+        for dim, at, packed in by_dim(batch):
+            index, own = shared.value[dim], grouped.value[0][dim]
+            for a in range(0, len(at), 1024):
+                hit = index.probes(matrix(packed[a : a + 1024], index.width))[:, [k for g in own for k in g]]
+                row, k = np.nonzero(np.logical_or.reduceat(hit, np.cumsum([0, *map(len, own[:-1])]), axis=1))
+                rows.append(at[a : a + 1024][row])
+                names.append(dim * MAX_LISTS + np.array([g[0] for g in own], np.int64)[k])
+        return (np.concatenate(rows), np.concatenate(names)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def counted(batches):
         for batch in batches:
-            lists, counts = np.unique(probes(batch)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(lists), pa.array(counts.astype(np.int64))], ["list", "n"])
+            names, n = np.unique(probes(batch)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n.astype(np.int64))], ["list", "n"])
 
-    # a row for each list: at most MAX_LISTS for each length of vectors
-    sizes = members.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
     asked = members.select("unit", "dim").mapInArrow(counted, "list long, n long").groupBy("list").agg(F.sum("n").alias("asked"))
-    plan = {r["list"]: (-(-r["size"] // MEMBERS), -(-r["asked"] // QUERIES)) for r in sizes.join(asked, "list").collect()}
+    plan = {}
+    for r in asked.collect():
+        dim, first = divmod(r["list"], MAX_LISTS)
+        size = sum(sizes[dim][a] for a in next(g for g in groups[dim] if g[0] == first))
+        plan[r["list"]] = (-(-size // block(MEMBERS, dim)), -(-r["asked"] // block(QUERIES, dim)))
     blocks = spark.sparkContext.broadcast(plan)
 
     def placed(batches):
-        """Members go to all blocks of queries of their list, each in one block of members."""
+        """Members go to all blocks of queries of their group, each in one block of members."""
         for batch in batches:
             lists, cls = batch.column("list").to_numpy(), batch.column("cls").to_numpy()
-            row, block, part = [], [], []
+            row, name, block, part = [], [], [], []
             for k, (a, c) in enumerate(zip(lists.tolist(), cls.tolist())):
-                nm, nq = blocks.value[a]
+                g = grouped.value[1][a]
+                nm, nq = blocks.value[g]
                 row += [k] * nq
+                name += [g] * nq
                 block += [c % nm] * nq
                 part += range(nq)
             taken = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column("list"), pa.array(block, pa.int32()), pa.array(part, pa.int32()), *(taken.column(c) for c in ("cls", "unit", "m", "codes", "reach"))], ["list", "block", "part", "cls", "unit", "m", "codes", "reach"])
+            yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(block, pa.int32()), pa.array(part, pa.int32()), *(taken.column(c) for c in ("cls", "unit", "m", "list", "codes", "reach"))], ["name", "block", "part", "cls", "unit", "m", "list", "codes", "reach"])
 
     def asking(batches):
-        """Queries go to all blocks of members of the lists they read, each in one block of queries."""
+        """Queries go to all blocks of members of the groups they read, each in one block of queries."""
         for batch in batches:
-            row, lists = probes(batch)
+            row, names = probes(batch)
             cls = batch.column("cls").to_numpy()
             r, a, b, p = [], [], [], []
-            for k, name in zip(row.tolist(), lists.tolist()):
-                if name in blocks.value:
-                    nm, nq = blocks.value[name]
-                    r += [k] * nm
-                    a += [name] * nm
-                    b += range(nm)
-                    p += [(int(cls[k]) >> 20) % nq] * nm
+            for k, name in zip(row.tolist(), names.tolist()):
+                nm, nq = blocks.value[name]
+                r += [k] * nm
+                a += [name] * nm
+                b += range(nm)
+                p += [(int(cls[k]) >> 20) % nq] * nm
             taken = batch.take(pa.array(r, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(p, pa.int32()), taken.column("cls"), taken.column("unit")], ["list", "block", "part", "cls", "unit"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(p, pa.int32()), taken.column("cls"), taken.column("unit")], ["name", "block", "part", "cls", "unit"])
 
     def compared(key, y: pa.Table, x: pa.Table) -> pa.Table:
-        index = shared.value
+        index = shared.value[key[0].as_py() // MAX_LISTS]
         rows = {"cls": [], "links": [], "u": [], "v": []}
         if y.num_rows and x.num_rows:
             mine, weights = y.column("cls").to_numpy(), y.column("m").to_numpy()
-            ym = index.matrix(y.column("unit").to_pylist())
+            ym = matrix(y.column("unit").to_pylist(), index.width)
             codes = np.frombuffer(b"".join(y.column("codes").to_pylist()), np.uint8).reshape(y.num_rows, -1)
-            seen, reach = index.decode(key[0].as_py() % MAX_LISTS, codes), y.column("reach").to_numpy()
-            for a in range(0, x.num_rows, 1024):
-                part = x.slice(a, 1024)
+            seen, reach = index.decode(y.column("list").to_numpy() % MAX_LISTS, codes), y.column("reach").to_numpy()
+            for a in range(0, x.num_rows, 256):
+                part = x.slice(a, 256)
                 theirs = part.column("cls").to_numpy()
-                hit = index.links(index.matrix(part.column("unit").to_pylist()), ym, seen, reach)
+                hit = index.links(matrix(part.column("unit").to_pylist(), index.width), ym, seen, reach)
                 hit &= theirs[:, None] != mine[None, :]
-                total = hit @ weights
+                i, j = np.nonzero(hit)
+                total = np.zeros(len(theirs), np.int64)
+                np.add.at(total, i, weights[j])
                 own = np.flatnonzero(total)
                 rows["cls"] += theirs[own].tolist()
                 rows["links"] += total[own].tolist()
@@ -261,8 +317,8 @@ def linked(classes: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFra
         k, e = len(rows["cls"]), len(rows["u"])
         return pa.table({"cls": pa.array(rows["cls"] + [None] * e, pa.int64()), "links": pa.array(rows["links"] + [None] * e, pa.int64()), "u": pa.array([None] * k + rows["u"], pa.int64()), "v": pa.array([None] * k + rows["v"], pa.int64())})
 
-    left = members.mapInArrow(placed, "list long, block int, part int, cls long, unit binary, m long, codes binary, reach float").groupBy("list", "block", "part")
-    right = members.select("cls", "unit", "dim").mapInArrow(asking, "list long, block int, part int, cls long, unit binary").groupBy("list", "block", "part")
+    left = members.mapInArrow(placed, "name long, block int, part int, cls long, unit binary, m long, list long, codes binary, reach float").groupBy("name", "block", "part")
+    right = members.select("cls", "unit", "dim").mapInArrow(asking, "name long, block int, part int, cls long, unit binary").groupBy("name", "block", "part")
     found = written(left.cogroup(right).applyInArrow(compared, "cls long, links long, u long, v long"), "links")
     return found.where("cls is not null").groupBy("cls").agg(F.sum("links").alias("links")), found.where("u is not null").select("u", "v")
 

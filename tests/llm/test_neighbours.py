@@ -83,3 +83,26 @@ def test_codes_lose_no_link():
         of, codes, reach = index.encode(x)
         hit = index.links(q, x, index.decode(of, codes), reach)
         assert (hit == (q @ x.T >= 0.9)).all() and hit.diagonal().all()
+
+
+def test_probes_lose_no_link():
+    rng = np.random.default_rng(9)
+    for width, spectrum in ((64, 1.0), (256, np.arange(256) < 16), (768, 1 / np.sqrt(np.arange(1, 769))), (768, 1 / np.arange(1, 769))):
+        x, q = linked_pairs(rng, 2000, width, spectrum=spectrum)
+        index = neighbours.Index(x, len(x), 0.9)
+        of = index.encode(x)[0]
+        i, j = np.nonzero(q @ x.T >= 0.9)
+        assert len(i) >= len(q) and index.probes(q)[i, of[j]].all()
+
+
+def test_mixed_lengths(spark, monkeypatch):
+    """Rows of other lengths take nothing from the links of the short ones."""
+    rng = np.random.default_rng(10)
+    rows = []
+    for width, n in ((64, 600), (128, 200), (1024, 1)):
+        for v in np.concatenate(linked_pairs(rng, n, width)):
+            rows.append((len(rows), v.tolist()))
+    monkeypatch.setattr(neighbours, "MEMBERS", 100)
+    monkeypatch.setattr(neighbours, "QUERIES", 200)
+    got = sorted(tuple(r) for r in neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == sorted(plain(rows)) and sum(r[1] for r in got) >= 2 * 80
