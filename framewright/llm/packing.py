@@ -3,10 +3,10 @@
 A document's tokens are those of the tokenizer and one end token. Longer ones are cut
 into full pieces, with what is over in the first; all others stay whole. Pieces are
 dealt by a hash to groups of about ``GROUP`` pieces. In each group, best-fit (longest
-first) makes a start; then local search takes the emptiest bins one after another and
-tries to empty them into other underfull bins: it moves a document, exchanges one for
-one, or two for one, always towards the fuller bin, so that the sum of squared fills
-grows with each step, until as few bins are left as the tokens need or no step helps.
+first) makes a start; then local search takes the bins, emptiest first, and tries to empty
+them into other underfull bins: it moves one or two documents, or exchanges them for one,
+always towards the fuller bin, so that the sum of squared fills grows with each step. It
+passes over the bins until as few are left as the tokens need or no step is left.
 
 Words repeat, so each worker keeps a bounded table of the ids of words, which is
 emptied when full. Texts with characters beyond the Latin ones are cut into words by the
@@ -32,8 +32,6 @@ from pyspark.sql import functions as F
 SEQUENCE = 2048
 END = 0
 GROUP = 20_000
-#: Steps of the search in one group.
-STEPS = 300
 CACHE = 250_000
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -121,7 +119,7 @@ class Bins:
     """Bins of one group, and the steps of the search."""
 
     def __init__(self, lengths: np.ndarray, size: int):
-        self.lengths, self.size = lengths, size
+        self.lengths, self.size, self.plain = lengths, size, lengths.tolist()
         self.items: list[list[int]] = []
         self.free: list[int] = []
 
@@ -146,70 +144,114 @@ class Bins:
             by_free[f - n].append(b)
             mask |= 1 << (f - n)
 
-    def search(self, steps: int = STEPS) -> None:
-        """From the emptiest bin on, give to fuller ones. After any step the emptiest is
-        tried again; the end comes when no bin can give, no bin is left to save, or all
-        ``steps`` are taken."""
+    def search(self) -> None:
+        """Passes from the emptiest bin to the fullest, in which each gives to bins at least as
+        full; the end comes when no bin is left to save or in a whole pass none can give."""
         least = -(-int(self.lengths.sum()) // self.size)
-        used = sum(map(bool, self.items))
-        tried: set[int] = set()
-        while used > least and steps > 0:
-            donors = [b for b in range(len(self.items)) if self.items[b] and self.free[b] and b not in tried]
-            if not donors:
-                return
-            donor = max(donors, key=lambda b: (self.free[b], -b))
-            taken = self._empty(donor, steps)
-            steps -= taken + 1
-            if taken:
-                tried.clear()
-                used = sum(map(bool, self.items))
-            tried.add(donor)
-
-    def _empty(self, donor: int, steps: int) -> int:
-        """Steps from ``donor`` to bins at least as full, each of which makes it emptier; their number."""
-        taken = 0
-        while self.items[donor] and taken < steps:
-            # items of other underfull bins at least as full: (bin, place, length, room once it is out)
-            others = [b for b in range(len(self.items)) if b != donor and self.items[b] and 0 < self.free[b] <= self.free[donor]]
-            if not others:
-                return taken
-            own = self.items[donor]
-            y = self.lengths[own]
-            free = np.array([self.free[b] for b in others])
-            best = (0, None)
-            # move: the longest document that fits; into the fullest bin
-            for k in np.argsort(-y).tolist():
-                room = np.flatnonzero(free >= y[k])
-                if len(room):
-                    best = (int(y[k]), ("move", [k], int(others[room[np.argmin(free[room])]]), None))
-                    break
-            sizes = np.array([len(self.items[b]) for b in others])
-            at = np.repeat(np.arange(len(others)), sizes)
-            x = self.lengths[np.concatenate([self.items[b] for b in others])]
-            room = x + free[at]
-            place = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            order = np.argsort(x, kind="stable")
-            groups = [[k] for k in range(len(own))] + [[j, k] for k in range(min(len(own), 24)) for j in range(k)]
-            for ks in groups:
-                total = int(y[ks].sum())
-                if total <= best[0]:
+        self.used = sum(map(bool, self.items))
+        while self.used > least and self._pass(least):
+            pass
+
+    def _pass(self, least: int) -> bool:
+        """Whether any bin has given."""
+        gave, rooms = False, Rooms(self.size)
+        waiting: list[list[int]] = [[] for _ in range(self.size + 1)]
+        for b, own in enumerate(self.items):
+            if own and self.free[b]:
+                waiting[self.free[b]].append(b)
+                rooms.add(b, self._lengths(b), self.free[b])
+        for f in range(self.size, 0, -1):
+            # bins only get fuller while they wait, so what comes to waiting[f] comes before its turn, or now
+            for donor in waiting[f]:
+                if self.free[donor] != f or not self.items[donor]:
                     continue
-                # the shortest document that can be exchanged for these
-                fits = order[(room[order] >= total) & (x[order] < total)][:1]
-                if len(fits) and total - int(x[fits[0]]) > best[0]:
-                    best = (total - int(x[fits[0]]), ("swap", ks, int(others[at[fits[0]]]), int(place[fits[0]])))
-            if best[1] is None:
-                return taken
-            _, ks, b, back = best[1]
-            given = [own[k] for k in ks]
-            self.items[donor] = [i for k, i in enumerate(own) if k not in ks]
-            if back is not None:
-                self.items[donor].append(self.items[b].pop(back))
-            self.items[b] += given
-            for c in (donor, b):
-                self.free[c] = self.size - int(self.lengths[self.items[c]].sum()) if self.items[c] else self.size
-            taken += 1
-        return taken
+                rooms.remove(donor)
+                while self.items[donor] and (receiver := self._give(donor, rooms)) is not None:
+                    gave = True
+                    if self.free[receiver]:
+                        waiting[self.free[receiver]].append(receiver)
+                if not self.items[donor]:
+                    self.used -= 1
+                    if self.used <= least:
+                        return True
+                elif self.free[donor] == f:
+                    rooms.add(donor, self._lengths(donor), f)
+            for b in waiting[f]:
+                if self.free[b] == f and b in rooms.held:
+                    rooms.remove(b)
+        return gave
+
+    def _lengths(self, b: int) -> dict[int, list[int]]:
+        """The documents of a bin by their length."""
+        out: dict[int, list[int]] = {}
+        for i in self.items[b]:
+            out.setdefault(self.plain[i], []).append(i)
+        return out
+
+    def _give(self, donor: int, rooms: Rooms) -> int | None:
+        """The step that takes most from ``donor``: one or two documents move to another bin or
+        are exchanged for a shorter one; the bin that took them, if there is any."""
+        own = self._lengths(donor)
+        u = list(own)
+        sets = [(n,) for n in u] + [(n, n) for n in u if len(own[n]) > 1] + [(n, m) for k, n in enumerate(u) for m in u[:k]]
+        totals = np.fromiter(map(sum, sets), np.int64, len(sets))
+        back = rooms.shortest(totals)
+        k = int((totals - back).argmax())
+        total, x = int(totals[k]), int(back[k])
+        if x >= total:
+            return None
+        b = rooms.fullest(x, total - x)
+        rooms.remove(b)
+        given = [own[n].pop() for n in sets[k]]
+        self.items[donor] = [i for i in self.items[donor] if i not in given]
+        if x:
+            i = next(i for i in self.items[b] if self.plain[i] == x)
+            self.items[b].remove(i)
+            self.items[donor].append(i)
+        self.items[b] += given
+        self.free[b] -= total - x
+        self.free[donor] += total - x
+        if self.free[b]:
+            rooms.add(b, self._lengths(b), self.free[b])
+        return b
+
+
+class Rooms:
+    """Bins that can take something, by the length of a document that they could give back
+    (0: none) and their free size."""
+
+    def __init__(self, size: int):
+        self.held: dict[int, tuple[list[int], int]] = {}
+        self.bins: dict[tuple[int, int], dict[int, None]] = {}
+        #: For each length a bit mask of the free sizes, and the longest total that fits in its place.
+        self.masks = [0] * (size + 1)
+        self.room = np.full(size + 1, -1, np.int64)
+
+    def add(self, b: int, lengths, free: int) -> None:
+        self.held[b] = own = ([0, *lengths], free)
+        for x in own[0]:
+            self.bins.setdefault((x, free), {})[b] = None
+            self.masks[x] |= 1 << free
+            self.room[x] = x + self.masks[x].bit_length() - 1
+
+    def remove(self, b: int) -> None:
+        lengths, free = self.held.pop(b)
+        for x in lengths:
+            own = self.bins[x, free]
+            del own[b]
+            if not own:
+                del self.bins[x, free]
+                self.masks[x] ^= 1 << free
+                self.room[x] = x + self.masks[x].bit_length() - 1 if self.masks[x] else -1
+
+    def shortest(self, totals: np.ndarray) -> np.ndarray:
+        """For each total the shortest length in whose place it fits; beyond all lengths if none."""
+        return np.searchsorted(np.maximum.accumulate(self.room), totals)
+
+    def fullest(self, x: int, free: int) -> int:
+        """The fullest bin with a document of length ``x`` and at least that free size."""
+        mask = self.masks[x] >> free
+        return next(iter(self.bins[x, free + (mask & -mask).bit_length() - 1]))
 
 
 def assign(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
