@@ -142,6 +142,12 @@ def _(spark, d):
     return legacy.lexical_recall(rows, "gold", "said").withColumns({c: F.round(c, 6) for c in ("recall", "extra")})
 
 
+@query("lexical_recall_whole", f"WITH p AS (SELECT {sql.nouns('text')} AS g, {sql.nouns("replace(text, 'th', 'd')")} AS p FROM documents) SELECT count(*) AS n, round(avg(len(list_intersect(g, p)) / len(g)), 6) AS recall, round(avg(len(list_filter(p, lambda x: NOT list_contains(g, x)))), 6) AS extra FROM p WHERE len(g) > 0")
+def _(spark, d):
+    rows = fx.table(spark, d, "documents").select(F.col("text").alias("gold"), F.replace("text", F.lit("th"), F.lit("d")).alias("said"))
+    return legacy.lexical_recall(rows, "gold", "said").withColumns({c: F.round(c, 6) for c in ("recall", "extra")})
+
+
 @query("vocab_topk", f"WITH v AS (SELECT unnest({sql.nouns('text')}) AS label FROM documents) SELECT label, count(*) AS n FROM v GROUP BY label ORDER BY n DESC, label LIMIT 20")
 def _(spark, d):
     return legacy.top(legacy.vocabulary(fx.table(spark, d, "documents"), txt.nouns(F.col("text"))), 20)
