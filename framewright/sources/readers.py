@@ -83,14 +83,42 @@ def adjudication(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ADJUDICATION).json(path, multiLine=True).select(F.col("N_YES").alias("n_yes"), F.col("N_NO").alias("n_no"), F.explode("answers").alias("a")).select("n_yes", "n_no", "a.*")
 
 
+def _jpeg_frame(content: Column) -> Column:
+    """Height and width of the first frame header of a JPEG, as 8 hexadecimal digits; empty
+    if there is none. Segments are skipped by their lengths, so frames of thumbnails inside
+    them don't count, and a frame may lie at any place."""
+    number = lambda x: F.conv(x, 16, 10).cast("int")
+    state = lambda at, frame: F.struct(at.cast("int").alias("at"), frame.alias("frame"))
+    end = state(F.lit(0), F.lit(""))
+
+    def step(acc: Column) -> Column:
+        at = acc["at"]
+        m = F.hex(F.substring(content, at, F.lit(9)))
+        on = lambda n: state(at + n, F.lit(""))
+        return (
+            F.when(at == 0, acc)
+            .when(F.length(m) < 8, end)
+            .when(~m.startswith("FF") | m.startswith("FFFF"), on(1))
+            .when(m.rlike("^FF(0[01]|D[0-8])"), on(2))
+            .when(m.rlike("^FF(C[0-35-79-BD-F])"), state(F.lit(0), F.substring(m, 11, 8)))
+            .when(m.rlike("^FFD[9A]"), end)
+            .otherwise(on(2 + number(F.substring(m, 5, 4))))
+        )
+
+    # as many steps as there are bytes suffice; in two levels, so that few are idle
+    steps = F.sequence(F.lit(1), F.ceil(F.sqrt(F.length(content))).cast("int") + 1)
+    return F.aggregate(steps, state(F.lit(3), F.lit("")), lambda acc, _: F.when(acc["at"] == 0, acc).otherwise(F.aggregate(steps, acc, lambda own, _: step(own))))["frame"]
+
+
 def image_sizes(spark: SparkSession, path: str) -> DataFrame:
     """path, img_w, img_h from the headers of PNG, GIF and JPEG files, by expressions on
-    their bytes; 0 for other files. JPEG: the first frame marker with a plausible size."""
-    raw = spark.read.format("binaryFile").load(path).select("path", F.hex(F.substring("content", 1, 65536)).alias("x"))
+    their bytes; 0 for other files. JPEG: the first frame header, wherever it lies."""
+    content = F.col("content")
+    raw = spark.read.format("binaryFile").load(path)
+    raw = raw.select("path", F.hex(F.substring(content, 1, 32)).alias("x"), F.when(F.hex(F.substring(content, 1, 2)) == "FFD8", _jpeg_frame(content)).otherwise("").alias("frame"))
     word = lambda at, n, swap=False: F.conv(F.concat(*(F.substring("x", 2 * at + 1 + 2 * i, 2) for i in (reversed(range(n)) if swap else range(n)))), 16, 10).cast("int")
-    frame = F.regexp_extract("x", "^FFD8(?:FF(?!C[0-2])[0-9A-F]{2}.*?)*?FFC[0-2]00(?:0B|11|14)08([0-9A-F]{8})", 1)
-    part = lambda a: F.conv(F.substring(frame, a, 4), 16, 10).cast("int")
-    png, gif, jpg = F.col("x").startswith("89504E47"), F.col("x").startswith("47494638"), F.col("x").startswith("FFD8") & (frame != "")
+    part = lambda a: F.conv(F.substring("frame", a, 4), 16, 10).cast("int")
+    png, gif, jpg = F.col("x").startswith("89504E47"), F.col("x").startswith("47494638"), F.length("frame") == 8
     w = F.when(png, word(16, 4)).when(gif, word(6, 2, True)).when(jpg, part(5)).otherwise(0)
     h = F.when(png, word(20, 4)).when(gif, word(8, 2, True)).when(jpg, part(1)).otherwise(0)
     return raw.select("path", w.alias("img_w"), h.alias("img_h"))

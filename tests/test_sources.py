@@ -64,6 +64,20 @@ def test_image_sizes(spark, tmp_path):
     assert got == {"a.png": (300, 70000), "b.gif": (321, 12), "c.jpg": (64, 48), "d.txt": (0, 0)}
 
 
+def test_image_sizes_past_metadata(spark, tmp_path):
+    """Frames behind more than 64 KB of metadata, in which a thumbnail has a frame of its own."""
+    frame = lambda marker, h, w: b"\xff" + marker + b"\x00\x11\x08" + struct.pack(">HH", h, w) + b"\3" + bytes(9)
+    segment = lambda body: b"\xff\xe1" + struct.pack(">H", len(body) + 2) + body
+    thumbnail = segment(b"Exif" + b"\xff\xd8" + frame(b"\xc0", 120, 160) + bytes(60_000))
+    (tmp_path / "a.jpg").write_bytes(b"\xff\xd8" + segment(bytes(65_000)) * 40 + frame(b"\xc2", 480, 640))
+    (tmp_path / "b.jpg").write_bytes(b"\xff\xd8" + thumbnail * 3 + b"\xff" + frame(b"\xc1", 48, 64) + b"\xff\xd9")
+    (tmp_path / "c.jpg").write_bytes(b"\xff\xd8" + thumbnail)
+    (tmp_path / "d.jpg").write_bytes(b"\xff\xd8")
+    (tmp_path / "e.txt").write_bytes(b"x")
+    got = {r["path"].rsplit("/", 1)[1]: (r["img_w"], r["img_h"]) for r in readers.image_sizes(spark, str(tmp_path)).collect()}
+    assert got == {"a.jpg": (640, 480), "b.jpg": (64, 48), "c.jpg": (0, 0), "d.jpg": (0, 0), "e.txt": (0, 0)}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("p", 3, 4, [("x", [[1.0, 2.0, 3.0, 4.0]]), ("a", [])])], "path string, img_w int, img_h int, grounding array<struct<phrase: string, boxes: array<array<double>>>>")
     out = f"{tmp_path}/out"
