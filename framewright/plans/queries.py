@@ -120,11 +120,20 @@ SELECT conv_id, turn, trim(CASE WHEN instr(s, '</think>') > 0 THEN substr(s, ins
 CASE WHEN lower(s) LIKE 'yes%' THEN 'YES' WHEN lower(s) LIKE 'no%' THEN 'NO' ELSE 'UNPARSED' END AS verdict, 'is it ' || trim(role) || '?' AS prompt FROM s JOIN conversations USING (conv_id, turn)"""
 
 
+def _markers(spark, d, thought, said):
+    think = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(" <think>"), thought, F.lit("</think> "))).otherwise("")
+    s = F.concat(think, F.when(F.col("conv_id") % 2 == 0, "Yes ").otherwise("no, "), said, F.lit("</s>rest</s> "))
+    return fx.table(spark, d, "conversations").select("conv_id", "turn", "role", s.alias("s")).select("conv_id", "turn", txt.after_thinking(F.col("s")).alias("answer"), txt.until_end_mark(F.col("s")).alias("cut"), txt.parse_verdict(F.col("s")).alias("verdict"), txt.prompt("is it {p}?", F.col("role")).alias("prompt"))
+
+
 @query("text_markers", _MARKS)
 def _(spark, d):
-    think = F.when(F.col("turn") % 3 == 0, F.concat(F.lit(" <think>"), F.substring("text", 1, 9), F.lit("</think> "))).otherwise("")
-    s = F.concat(think, F.when(F.col("conv_id") % 2 == 0, "Yes ").otherwise("no, "), F.substring("text", 1, 40), F.lit("</s>rest</s> "))
-    return fx.table(spark, d, "conversations").select("conv_id", "turn", "role", s.alias("s")).select("conv_id", "turn", txt.after_thinking(F.col("s")).alias("answer"), txt.until_end_mark(F.col("s")).alias("cut"), txt.parse_verdict(F.col("s")).alias("verdict"), txt.prompt("is it {p}?", F.col("role")).alias("prompt"))
+    return _markers(spark, d, F.substring("text", 1, 9), F.substring("text", 1, 40))
+
+
+@query("text_markers_whole", _MARKS.replace("substr(text, 1, 9)", "text").replace("substr(text, 1, 40)", "text"))
+def _(spark, d):
+    return _markers(spark, d, F.col("text"), F.col("text"))
 
 
 _CAPTION = f"""WITH c AS (SELECT n_chars < 200 AS missing, CASE WHEN n_chars >= 200 THEN {sql.words('substr(text, 1, 80)')} END AS s, CASE WHEN n_chars >= 200 THEN {sql.words('text')} END AS d FROM documents)
@@ -496,24 +505,53 @@ def _chains(spark, d):
     return docs.select("id"), fl, qw
 
 
+#: Over whole texts; what a chain lacks, it lacks for the length of the document.
+_CHAINS_WHOLE = "fl AS (SELECT doc_id AS id, text AS caption, n_chars / 100.0::DOUBLE AS dt_s, CASE WHEN n_chars < 200 THEN 'ShortDoc' END AS error FROM documents), qw AS (SELECT doc_id AS id, upper(lang) || ' ' || text AS short, n_chars / 50.0::DOUBLE AS dt_s, CASE WHEN n_chars > 3000 THEN 'LongDoc' END AS error FROM documents)"
+
+
+def _chains_whole(spark, d):
+    docs = fx.table(spark, d, "documents").withColumnRenamed("doc_id", "id")
+    fl = docs.select("id", F.col("text").alias("caption"), (F.col("n_chars") / 100.0).alias("dt_s"), F.when(F.col("n_chars") < 200, "ShortDoc").alias("error"))
+    qw = docs.select("id", F.concat(F.upper("lang"), F.lit(" "), F.col("text")).alias("short"), (F.col("n_chars") / 50.0).alias("dt_s"), F.when(F.col("n_chars") > 3000, "LongDoc").alias("error"))
+    return docs.select("id"), fl, qw
+
+
 @query("merge_chains", f"WITH {_CHAINS} SELECT d.doc_id AS id, f.caption AS caption, q.short AS short, f.id IS NOT NULL AND q.id IS NOT NULL AS both_ok FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN qw q ON q.id = d.doc_id AND q.error IS NULL")
 def _(spark, d):
     work, fl, qw = _chains(spark, d)
     return legacy.merge_chains(work, {"fl": fl, "qw": qw}).select("id", "fl.caption", "qw.short", (F.col("fl").isNotNull() & F.col("qw").isNotNull()).alias("both_ok"))
 
 
+@query("merge_chains_whole", f"WITH {_CHAINS_WHOLE} SELECT d.doc_id AS id, f.caption AS caption, q.short AS short, f.id IS NOT NULL AND q.id IS NOT NULL AS both_ok FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN qw q ON q.id = d.doc_id AND q.error IS NULL")
+def _(spark, d):
+    work, fl, qw = _chains_whole(spark, d)
+    return legacy.merge_chains(work, {"fl": fl, "qw": qw}).select("id", "fl.caption", "qw.short", (F.col("fl").isNotNull() & F.col("qw").isNotNull()).alias("both_ok"))
+
+
 @query("chain_coverage", f"WITH {_CHAINS} SELECT (SELECT count(*) FROM documents) AS n_work, count(*) AS n_ok, median(dt_s) AS median_s FROM fl WHERE error IS NULL")
 def _(spark, d):
     work, fl, _ = _chains(spark, d)
     return legacy.coverage(work, fl)
 
 
+@query("chain_coverage_whole", f"WITH {_CHAINS_WHOLE} SELECT (SELECT count(*) FROM documents) AS n_work, count(*) AS n_ok, median(dt_s) AS median_s FROM fl WHERE error IS NULL")
+def _(spark, d):
+    work, fl, _ = _chains_whole(spark, d)
+    return legacy.coverage(work, fl)
+
+
 @query("all_chains_sample", f"WITH {_CHAINS} SELECT f.id AS id FROM fl f JOIN qw q USING (id) WHERE f.error IS NULL AND q.error IS NULL ORDER BY id LIMIT 6")
 def _(spark, d):
     work, fl, qw = _chains(spark, d)
     return legacy.merge_chains(work, {"fl": fl, "qw": qw}).where("fl is not null and qw is not null").orderBy("id").limit(6).select("id")
 
 
+@query("all_chains_sample_whole", f"WITH {_CHAINS_WHOLE} SELECT f.id AS id FROM fl f JOIN qw q USING (id) WHERE f.error IS NULL AND q.error IS NULL ORDER BY id LIMIT 6")
+def _(spark, d):
+    work, fl, qw = _chains_whole(spark, d)
+    return legacy.merge_chains(work, {"fl": fl, "qw": qw}).where("fl is not null and qw is not null").orderBy("id").limit(6).select("id")
+
+
 _CF = "cf AS (SELECT n_chars % 200 AS wa, n_chars % 90 AS wb, doc_id % 24 AS pa, doc_id % 9 AS pb, doc_id % 40 AS ba, doc_id % 11 AS bb, n_chars > 3000 AS truncated FROM documents)"
 
 
@@ -544,6 +582,11 @@ def _(spark, d):
     return clean.needed_captions(fx.captions(spark, d), ground).select("path", F.col("error").isNotNull().alias("failed"))
 
 
+@query("needed_captions_whole", f"WITH {sql.FIXTURE} SELECT 'doc/' || doc_id AS path, n_chars < 200 AS failed FROM documents WHERE doc_id IN (SELECT doc_id FROM fx)")
+def _(spark, d):
+    return clean.needed_captions(fx.captions(spark, d), fx.grounding(spark, d)).select("path", F.col("error").isNotNull().alias("failed"))
+
+
 _HITS = f"{sql.rec()}, h AS (SELECT doc_id, k, phrase, rule FROM cells)"
 
 
@@ -574,6 +617,16 @@ def _(spark, d):
     return rows.select("id", "fl.caption", F.greatest(F.size(F.coalesce("verdicts", F.create_map().cast("map<string,string>"))), F.lit(0)).alias("n_verdicts"), F.try_element_at("verdicts", F.col("crossfeed.first")).alias("first_verdict"))
 
 
+@query("review_rows_whole", f"WITH {sql.FIXTURE}, {sql.cleaned('rec')}, {sql.VERDICTS}, {_CHAINS_WHOLE} SELECT d.doc_id AS id, f.caption AS caption, (SELECT count(*) FROM vf v WHERE v.doc_id = d.doc_id) AS n_verdicts, (SELECT max(v.verdict) FROM vf v WHERE v.doc_id = d.doc_id AND v.phrase = q.phrase) AS first_verdict FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN kept q ON q.doc_id = d.doc_id AND q.k = 0")
+def _(spark, d):
+    work, fl, _ = _chains_whole(spark, d)
+    v = fx.verdicts(spark, d)
+    said = v.select(F.col("doc_id").alias("id"), "phrase", "verdict")
+    first = v.where("k = 0").select(F.col("doc_id").alias("id"), F.col("phrase").alias("first"))
+    rows = legacy.review_rows(legacy.merge_chains(work, {"fl": fl}), first, said)
+    return rows.select("id", "fl.caption", F.greatest(F.size(F.coalesce("verdicts", F.create_map().cast("map<string,string>"))), F.lit(0)).alias("n_verdicts"), F.try_element_at("verdicts", F.col("crossfeed.first")).alias("first_verdict"))
+
+
 # --- streams and model stages: rows only
 
 
