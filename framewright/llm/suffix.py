@@ -1,53 +1,62 @@
-"""Removal of repeated byte strings, over a sparse suffix array refined by bucket pointers.
-
-A byte goes if a ``LENGTH``-byte string that covers it starts anywhere else too. Strings
-are put into buckets by ever longer prefixes, and a string that is alone in its bucket
-is settled and takes no part in later rounds:
-
-1. Of each string, the least ``GRAM``-byte gram (its anchor) depends on the string alone,
-   so equal strings have equal anchors at equal places. The anchors, about one in 137
-   positions, are the suffixes that are sorted; their grams are the first buckets.
-2. Strings of one anchor are taken ``CELL`` starts at a time. What all strings of a cell
-   share (its core) and all that they cover (its hull) refine the anchor's bucket: a core
-   alone in its bucket has no repeated string, a hull that is not alone has only such.
-3. Strings of the cells left between are sorted one by one, in the bucket of their core.
-   Of cells with equal hulls one speaks for all.
-
-A bucket's number is a 64-bit hash of its content, so that no numbering by one machine is
-needed and numbers of later offsets are reused by combination. (Two of 10^9 different
-strings collide with a chance of 3 %.)
-
-Each round is one exchange: chunks of documents send the bucket numbers they have, packed
-by shard, each number once with a mark whether it is there several times; shards answer
-with a bit for each. Nothing grows with the size of a bucket.
+"""Removal of repeated strings, by bucket-pointer refinement of sampled suffixes.
+
+A unit (a byte; in ``by="words"`` a word) goes if a string of ``length`` units that covers it
+starts anywhere else too. Strings are put into buckets by ever longer prefixes:
+
+1. The first buckets are those of the ``q``-grams, q a quarter of the length. Only some
+   suffixes need them: of each string, the least q-gram (its anchor) depends on the string
+   alone, so equal strings have equal anchors at equal places. A string whose anchor is
+   alone in its bucket is settled.
+2. A bucket of longer strings is named by the bucket pointers at a later offset: two of
+   q-grams, q apart, name one of 2q units, two of these name one of ``length`` units, and
+   so on; what has been worked out for a place is used again by each that points to it.
+   ``CELL`` neighbouring starts are refined at once: what all their strings share (the core)
+   and what they cover together (the hull) are such pairs. A hull that is not alone has only
+   repeated strings, a core that is alone has none.
+3. The strings of the cells left between are refined one by one, to their whole length.
+
+A pointer is a 64-bit hash of the pointers that it stands for. What decides a removal is the
+equality of two of them, worked out independently (128 bits in all: at 10^14 strings, some two
+differing ones agree with a chance of 10^-11).
+
+Each round is one exchange of plain rows, one for each distinct pointer of a chunk of
+documents, by the pointer; Spark counts them, and the rows of those that are not alone go
+back to their chunks. So an exchange is in proportion to the text, and one pointer has at
+most one row for each chunk, however many documents share it. Documents are shuffled once.
 
 Defined results: a null text is empty. Repeated rows are copies of each other. Rows
-with null ids take part like others. Texts under LENGTH bytes keep all. An empty table
-gives an empty result. Further columns, of any name, stay as they are in ``stripped``.
+with null ids take part like others. Texts shorter than the length keep all. An empty table
+gives an empty result. Very long texts are searched piece by piece, in bounded memory.
+Further columns, of any name, stay as they are in ``stripped``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import CHUNK_BYTES, mixed, text_bytes
 
 LENGTH = 400
-GRAM = 128
 CELL = 16
-#: Bytes of text for each shard of an exchange, and bytes hashed together.
-SHARD_BYTES = 32 << 20
+#: Units searched together. A longer text is searched in pieces that overlap.
 TOGETHER = 1 << 19
+#: Bits of a gram's hash that choose the anchor; among equal ones the first is it.
+ANCHOR_BITS = 32
 
 _BASE = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-ASKS = "chunk int, level int, to int, a binary, b binary"
+_FAMILIES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+_ASKS = "chunk int, i int, n int, a long, b long, c long, carry array<binary>"
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -56,286 +65,388 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-class Stretch:
-    """Some documents end to end, hashed: ``hashes(i, n)`` is that of the n bytes at i."""
-
-    _pow = _inv = np.ones(1, np.uint64)
-
-    def __init__(self, texts: list[bytes]):
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        joined = b"".join(texts)
-        self.bytes = np.frombuffer(joined, np.uint8)
-        n = len(joined)
-        if len(Stretch._pow) < n + 1:
-            Stretch._pow, Stretch._inv = _powers(_BASE, n + 1 + TOGETHER), _powers(_INVERSE, n + 1 + TOGETHER)
-        eights = np.ndarray((n,), "<u8", joined + bytes(8), strides=(1,)).copy()
-        eights *= _ODD
+class Powers:
+    """Powers of the base and of its inverse, as many as were ever needed."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            cls.up, cls.down = _powers(_BASE, n + TOGETHER), _powers(_INVERSE, n + TOGETHER)
+        return cls.up, cls.down
+
+
+def _sums(symbols: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(symbols) + 1, np.uint64)
+    np.cumsum(symbols * Powers.of(len(symbols) + 1)[0][: len(symbols)], out=out[1:])
+    return out
+
+
+class Bytes:
+    """A buffer of texts end to end, its units bytes. ``sizes``: the units of each text."""
+
+    #: A symbol is of eight bytes, so n bytes are n - 7 symbols.
+    slack = 7
+
+    def __init__(self, buffer: np.ndarray, sizes: np.ndarray):
+        self.buffer, self.sizes = buffer, sizes
+
+    def symbols(self, family: int, a: int, b: int) -> np.ndarray:
+        padded = np.zeros(b - a + 8, np.uint8)
+        own = self.buffer[a : min(len(self.buffer), b + 8)]
+        padded[: len(own)] = own
+        eights = np.ndarray((b - a,), "<u8", padded, strides=(1,)) * _FAMILIES[family]
         eights ^= eights >> np.uint64(29)
         eights *= np.uint64(0xBF58476D1CE4E5B9)
         eights ^= eights >> np.uint64(32)
-        eights *= Stretch._pow[:n]
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(eights, out=self.sums[1:])
-        self._runs()
-
-    def hashes(self, i: np.ndarray, n) -> np.ndarray:
-        return mixed((self.sums[i + n - 7] - self.sums[i]) * Stretch._inv[i])
-
-    def _runs(self) -> None:
-        """anchor, first, last: the runs of strings with one anchor; low, high: the first and
-        last string of its document."""
-        n = len(self.bytes)
+        return eights
+
+    def gone_bytes(self, gone: np.ndarray) -> np.ndarray:
+        return gone
+
+
+class Words(Bytes):
+    """The same, its units words: runs of bytes other than white space."""
+
+    slack = 0
+
+    def __init__(self, buffer: np.ndarray, sizes: np.ndarray):
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        inside = ~_SPACE[buffer]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        some = sizes > 0
+        first[starts[some]] = inside[starts[some]]
+        last[ends[some] - 1] = inside[ends[some] - 1]
+        self.first, self.last = np.flatnonzero(first), np.flatnonzero(last) + 1
+        super().__init__(buffer, np.diff(np.append(np.searchsorted(self.first, starts), len(self.first))))
+        #: Where each word's bytes, with the white space after it, end.
+        of = np.repeat(ends, self.sizes)
+        self.until = np.minimum(np.append(self.first[1:], len(buffer)), of)
+
+    def symbols(self, family: int, a: int, b: int) -> np.ndarray:
+        if a == b:
+            return np.zeros(0, np.uint64)
+        table = mixed(np.arange(1, 257, dtype=np.uint64) * _FAMILIES[family])
+        start, first, last = self.first[a], self.first[a:b], self.last[a:b]
+        sums = _sums(table[self.buffer[start : last[-1]]])
+        down = Powers.of(len(sums))[1]
+        return mixed((sums[last - start] - sums[first - start]) * down[first - start] + (last - first).astype(np.uint64) * _ODD)
+
+    def gone_bytes(self, gone: np.ndarray) -> np.ndarray:
+        """A word goes with the white space after it."""
+        marks = np.zeros(len(self.buffer) + 1, np.int32)
+        np.add.at(marks, self.first[gone], 1)
+        np.add.at(marks, self.until[gone], -1)
+        return np.cumsum(marks[:-1]) > 0
+
+
+class Stretch:
+    """Units a to b of a buffer, some texts of the given sizes, and their bucket pointers."""
+
+    def __init__(self, units: Bytes, a: int, b: int, sizes: np.ndarray, length: int):
+        if length < 4 * (units.slack + 1):
+            raise ValueError(f"strings of {length} units are too short for buckets of a quarter")
+        self.units, self.a, self.b, self.sizes, self.length = units, a, b, sizes, length
+        self.gram = -(-length // 4)
+        self._sum_of: dict[int, np.ndarray] = {}
+
+    def release(self) -> None:
+        self._sum_of = {}
+
+    def pointers(self, i: np.ndarray, family: int) -> np.ndarray:
+        """Of the grams at i."""
+        if family not in self._sum_of:
+            self._sum_of[family] = _sums(self.units.symbols(family, self.a, self.b))
+        sums, down = self._sum_of[family], Powers.of(self.b - self.a + 1)[1]
+        return mixed((sums[i + self.gram - self.units.slack] - sums[i]) * down[i])
+
+    def twice(self, i: np.ndarray, family: int) -> np.ndarray:
+        """Of the strings of two grams at i, by the grams' pointers."""
+        return mixed(self.pointers(i, family) * _ODD + self.pointers(i + self.gram, family))
+
+    def reach(self, i: np.ndarray, length: int, family: int) -> np.ndarray:
+        """Of the strings of 2 to 4 grams' length at i, by pointers to two of two grams each."""
+        return mixed(self.twice(i, family) * _ODD + self.twice(i + length - 2 * self.gram, family))
+
+    def runs(self):
+        """anchor, first, last, low, high, gram: the runs of strings with one anchor; low and
+        high are the first and last string of its text."""
         none = np.zeros(0, np.int64)
-        self.anchor = self.first = self.last = self.low = self.high = none
-        self.gram = np.zeros(0, np.uint64)
-        long = np.flatnonzero(self.sizes >= LENGTH)
+        long = np.flatnonzero(self.sizes >= self.length)
         if not len(long):
-            return
-        m = n - GRAM + 1
-        grams = mixed((self.sums[GRAM - 7 : GRAM - 7 + m] - self.sums[:m]) * Stretch._inv[:m])
-        bits = np.uint64(max(1, int(m).bit_length()))
+            return none, none, none, none, none, np.zeros(0, np.uint64)
+        starts = np.cumsum(self.sizes) - self.sizes
+        m = self.b - self.a - self.gram + 1
+        grams = self.pointers(np.arange(m), 0)
+        bits = np.uint64(64 - ANCHOR_BITS)
         least = (grams >> bits << bits) | np.arange(m, dtype=np.uint64)
-        reach, width = LENGTH - GRAM + 1, 1
+        reach, width = self.length - self.gram + 1, 1
         while 2 * width <= reach:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         if width < reach:
             least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
         place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        counts = self.sizes[long] - LENGTH + 1
-        low = self.starts[long]
+        counts = self.sizes[long] - self.length + 1
+        low = starts[long]
         at = np.arange(counts.sum()) + np.repeat(low - (np.cumsum(counts) - counts), counts)
         own = place[at]
         new = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         doc = np.searchsorted(np.cumsum(counts), new, side="right")
-        self.anchor, self.first, self.last = own[new], at[new], at[np.append(new[1:], len(at)) - 1]
-        self.low, self.high = low[doc], (low + counts - 1)[doc]
-        self.gram = grams[self.anchor]
-
-    def cells(self, run: np.ndarray):
-        """core, hull, lowest, highest, anchor of the cells of the given runs."""
-        p = self.anchor[run]
-        k0 = (p - self.last[run]) // CELL
-        counts = (p - self.first[run]) // CELL - k0 + 1
-        of = np.repeat(np.arange(len(run)), counts)
+        anchor = own[new]
+        return anchor, at[new], at[np.append(new[1:], len(at)) - 1], low[doc], (low + counts - 1)[doc], grams[anchor]
+
+    def cells(self, run: tuple, cell: int) -> list[np.ndarray]:
+        """core, hull, check, lowest, highest, anchor of the cells of the given runs."""
+        p, first, last, low, high, gram = run
+        k0 = (p - last) // cell
+        counts = (p - first) // cell - k0 + 1
+        of = np.repeat(np.arange(len(p)), counts)
         k = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + k0[of]
-        p, gram = p[of], self.gram[run][of]
-        top = p - CELL * k
-        highest = np.minimum(top, self.high[run][of])
-        lowest = np.maximum(top - CELL + 1, self.low[run][of])
-        core = mixed(self.hashes(top, LENGTH - CELL + 1) ^ mixed(gram + k.astype(np.uint64) * _ODD))
-        hull = self.hashes(lowest, highest - lowest + LENGTH)
-        hull = mixed(hull + core * _ODD + ((p - lowest) * 1024 + (p - highest)).astype(np.uint64))
-        return core, hull, lowest, highest, p
-
-
-def stretches(texts: list[bytes]):
-    """The texts in order, about TOGETHER bytes at a time."""
-    own, n = [], 0
-    for t in texts:
-        own.append(t)
-        n += len(t)
-        if n >= TOGETHER:
-            yield Stretch(own)
-            own, n = [], 0
-    if own:
-        yield Stretch(own)
-
-
-def _by_shard(keys: np.ndarray, shards: int) -> list[np.ndarray]:
-    """Places of the keys of each shard, in the order of the keys."""
-    shard = (keys >> np.uint64(33)) % np.uint64(shards)
-    order = np.argsort(shard, kind="stable")
-    return np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+        p, gram = p[of], gram[of]
+        top = p - cell * k
+        highest, lowest = np.minimum(top, high[of]), np.maximum(top - cell + 1, low[of])
+        core = mixed(self.reach(top, self.length - cell + 1, 0) ^ mixed(gram + k.astype(np.uint64) * _ODD))
+        place = core * _ODD + ((p - lowest) * (8 * cell) + (highest - lowest)).astype(np.uint64)
+        hull, check = (mixed(mixed(self.reach(lowest, self.length, f) * _ODD + self.reach(highest, self.length, f)) + place) for f in (0, 1))
+        return [core, hull, check, lowest, highest, p]
+
+
+def _distinct(*keys: np.ndarray):
+    """first, of, counts: the distinct rows of keys in their order, which row each is."""
+    if not len(keys[0]):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of, np.bincount(of)
 
 
 class Chunk:
-    """One chunk of documents and the answers it has so far. Each level is worked out anew
-    from the texts, in the same order, which is that of ids and texts."""
-
-    def __init__(self, texts: list[bytes], answers: dict[tuple[int, int], bytes], shards: int):
-        self.texts, self.answers, self.shards = texts, answers, shards
-
-    def answer(self, level: int, keys: np.ndarray, bits: bool = True) -> np.ndarray:
-        """The answers to ``keys``, for which asks went out in the same way."""
-        out = np.zeros(len(keys), np.uint8)
-        for shard, at in enumerate(_by_shard(keys, self.shards)):
-            if len(at):
-                raw = np.frombuffer(self.answers[level, shard], np.uint8)
-                out[at] = np.unpackbits(raw, count=len(at)) if bits else raw
-        return out
+    """One chunk of documents and the answers it has so far (``said``, by level). Each level
+    is worked out anew from the texts, in the same order, which is that of ids and texts.
+    ``asks``: the distinct pointers a, b, c of a level and how often they occur (1, or 2 for more)."""
+
+    def __init__(self, docs: pa.Table, said: dict[int, np.ndarray], length: int, by: str):
+        self.rows = docs.column("row").combine_chunks()
+        keys, texts = self.rows.field("doc_id").to_pylist(), self.rows.field("text")
+        digests = [hashlib.blake2b(t.as_buffer() if t.is_valid else b"", digest_size=8).digest() for t in texts]
+        self.order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, "" if keys[i] is None else keys[i], digests[i]))
+        self.rows = self.rows.take(pa.array(self.order, pa.int64()))
+        texts = self.rows.field("text").cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"")
+        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        self.buffer = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]] if len(texts) else np.zeros(0, np.uint8)
+        self.bytes = np.diff(edges)
+        self.length, self.said = length, said
+        self.cell = min(CELL, max(1, length // 4))
+        self.units = (Words if by == "words" else Bytes)(self.buffer, self.bytes)
+        self.stretches = list(self._cut())
+        self.keep = len(self.buffer) <= 4 * CHUNK_BYTES
+
+    def _cut(self):
+        """The texts some at a time; a long one in pieces, so that each string is in one of them."""
+        begin = end = 0
+        own: list[int] = []
+        for n in [*self.units.sizes.tolist(), -1]:
+            if own and (n < 0 or end - begin + n > TOGETHER):
+                yield Stretch(self.units, begin, end, np.array(own), self.length)
+                own, begin = [], end
+            if n > 2 * TOGETHER:
+                for a in range(end, end + n, TOGETHER):
+                    b = min(end + n, a + TOGETHER + self.length - 1)
+                    yield Stretch(self.units, a, b, np.array([b - a]), self.length)
+                begin = end = end + n
+            elif n >= 0:
+                own.append(n)
+                end += n
+
+    def _done(self, s: Stretch) -> None:
+        if not self.keep:
+            s.release()
 
     def level1(self):
-        """Each stretch, and where its anchors are among the chunk's distinct grams."""
-        self.stretches = list(stretches(self.texts)) if len(self.texts) else []
-        grams = np.concatenate([s.gram for s in self.stretches] or [np.zeros(0, np.uint64)])
-        self.grams, self.gram_of, counts = np.unique(grams, return_inverse=True, return_counts=True)
-        return self.grams, (counts > 1).astype(np.uint8)
+        """Grams of the anchors."""
+        self.found = []
+        for s in self.stretches:
+            self.found.append(s.runs())
+            self._done(s)
+        grams = np.concatenate([r[5] for r in self.found] or [np.zeros(0, np.uint64)])
+        first, self.gram_of, counts = _distinct(grams)
+        none = np.zeros(len(first), np.uint64)
+        return grams[first], none, none, counts
 
     def level2(self):
-        """Cells of the anchors that are not alone; the chunk's distinct (core, hull)."""
-        several = self.answer(1, self.grams)[self.gram_of].astype(bool)
-        parts, begin = [], 0
-        for number, s in enumerate(self.stretches):
-            run = np.flatnonzero(several[begin : begin + len(s.gram)])
-            begin += len(s.gram)
-            found = s.cells(run)
-            parts.append((*found, np.full(len(found[0]), number)))
-        self.cells = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 4
-        core, hull = self.cells[:2]
-        # the hull holds the core
-        self.hulls, self.hull_first, self.hull_of, counts = np.unique(hull, return_index=True, return_inverse=True, return_counts=True)
-        return core[self.hull_first], self.hulls, (counts > 1).astype(np.uint8)
+        """Hulls and cores of the cells of anchors that are not alone."""
+        several = (self.said[1][self.gram_of] & 1).astype(bool)
+        parts, begin = [[np.zeros(0, np.uint64)] * 3 + [np.zeros(0, np.int64)] * 4], 0
+        for number, (s, run) in enumerate(zip(self.stretches, self.found)):
+            n = len(run[5])
+            live = several[begin : begin + n]
+            begin += n
+            if live.any():
+                own = s.cells(tuple(x[live] for x in run), self.cell)
+                parts.append([*own, np.full(len(own[0]), number)])
+                self._done(s)
+        self.cells = core, hull, check, _, _, _, _ = [np.concatenate(x) for x in zip(*parts)]
+        self.hull_first, self.hull_of, n_hull = _distinct(hull, check)
+        own_core = core[self.hull_first]
+        core_first, core_of, n_core = _distinct(own_core)
+        self.core_of = core_of
+        #: Several hulls of one core in this chunk.
+        self.mixed_core = n_core > 1
+        in_core = np.bincount(core_of, weights=n_hull, minlength=len(core_first))
+        none = np.zeros(len(core_first), np.uint64)
+        a = np.concatenate([mixed(hull[self.hull_first]), own_core[core_first]])
+        # where there are several hulls, something that differs from the hull that another chunk may have alone
+        of_core = hull[self.hull_first][core_first]
+        b = np.concatenate([np.zeros(len(self.hull_first), np.uint64), np.where(self.mixed_core, ~of_core, of_core)])
+        return a, b, np.concatenate([check[self.hull_first], none]), np.concatenate([n_hull, in_core])
 
     def level3(self):
-        """Strings of the cells to be sorted one by one."""
-        said = self.answer(2, self.cells[0][self.hull_first], bits=False)
-        self.all_repeat = (said & 1).astype(bool)[self.hull_of]
-        at = self.hull_first[(said & 2) > 0]
-        core, _, lowest, highest, anchor, number = (x[at] for x in self.cells)
+        """The strings of the cells to be refined one by one."""
+        n = len(self.hull_first)
+        hull, core = self.said[2][:n], self.said[2][n:][self.core_of]
+        mixed_core = self.mixed_core[self.core_of]
+        repeats, speaks = (hull & 1) > 0, ((hull & 4) > 0) | ((hull & 1) == 0)
+        in_core, hulls = ((core & 1) > 0) | mixed_core, ((core & 2) > 0) | mixed_core
+        # of cells with equal hulls one speaks for all
+        on = in_core & np.where(repeats, speaks & hulls, True)
+        self.repeats = repeats[self.hull_of]
+        at = self.hull_first[on]
+        core, _, _, lowest, highest, anchor, number = (x[at] for x in self.cells)
         counts = highest - lowest + 1
         of = np.repeat(np.arange(len(at)), counts)
         self.string = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + lowest[of]
         self.string_in = number[of]
-        keys = np.zeros(len(of), np.uint64)
-        for n, s in enumerate(self.stretches):
-            own = self.string_in == n
-            keys[own] = s.hashes(self.string[own], LENGTH)
-        # the place of the anchor belongs to the bucket: a string is met once by each of its anchors
-        keys = mixed(keys + core[of] * _ODD + mixed((anchor[of] - self.string).astype(np.uint64)))
-        self.strings, self.string_of, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        return self.strings, (counts > 1).astype(np.uint8)
-
-    def removed(self):
-        """For each text, its kept bytes and the number of removed runs."""
-        repeats = self.answer(3, self.strings)[self.string_of].astype(bool)
-        _, _, lowest, highest, _, number = self.cells
-        for n, s in enumerate(self.stretches):
-            size = len(s.bytes)
-            marks = np.zeros(size + 1, np.int32)
-            own = self.all_repeat & (number == n)
-            np.add.at(marks, lowest[own], 1)
-            np.add.at(marks, highest[own] + 1, -1)
-            repeated = np.cumsum(marks[:-1]) > 0
-            repeated[self.string[repeats & (self.string_in == n)]] = True
-            cover = np.zeros(size + 1, np.int32)
-            at = np.flatnonzero(repeated)
-            cover[at] += 1
-            cover[at + LENGTH] -= 1
-            gone = np.cumsum(cover[:-1]) > 0
-            for a, b in zip(s.starts.tolist(), (s.starts + s.sizes).tolist()):
-                g = gone[a:b]
-                if g.any():
-                    yield s.bytes[a:b][~g].tobytes(), int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1]))
-                else:
-                    yield s.bytes[a:b].tobytes(), 0
-
-
-def settled(level: int, a: list[bytes], b: list[bytes]) -> list[bytes]:
-    """The answers of one shard to the asks of all chunks, in their order."""
-    sizes = [len(x) // 8 for x in a]
-    keys = np.frombuffer(b"".join(a), np.uint64)
-    if level != 2:
-        marks = np.frombuffer(b"".join(b), np.uint8)
-        _, of = np.unique(keys, return_inverse=True)
-        several = np.bincount(of, weights=marks + 1.0) > 1
-        return [np.packbits(x).tobytes() for x in np.split(several[of], np.cumsum(sizes)[:-1])]
-    hulls = np.frombuffer(b"".join(x[: 8 * n] for x, n in zip(b, sizes)), np.uint64)
-    marks = np.frombuffer(b"".join(x[8 * n :] for x, n in zip(b, sizes)), np.uint8)
-    _, core_of = np.unique(keys, return_inverse=True)
-    distinct, first, hull_of = np.unique(hulls, return_index=True, return_inverse=True)
-    in_core = np.bincount(core_of, weights=marks + 1.0)
-    hulls_in_core = np.bincount(core_of[first], minlength=len(in_core))
-    in_hull = np.bincount(hull_of, weights=marks + 1.0)
-    all_repeat = (in_hull > 1)[hull_of]
-    speaks = np.zeros(len(hulls), bool)
-    speaks[first] = True
-    sort_on = (in_core > 1)[core_of] & np.where(all_repeat, speaks & (hulls_in_core > 1)[core_of], True)
-    said = all_repeat.astype(np.uint8) | (sort_on.astype(np.uint8) << 1)
-    return [x.tobytes() for x in np.split(said, np.cumsum(sizes)[:-1])]
-
-
-def _shard(table: pa.Table) -> pa.Table:
-    to = table.column("to")[0].as_py()
-    if to < 0:  # earlier answers on their way back to their chunk
-        return table
-    table = table.sort_by("chunk")
-    level = table.column("level")[0].as_py()
-    said = settled(level, table.column("a").to_pylist(), table.column("b").to_pylist())
-    return pa.table({"chunk": table.column("chunk"), "level": table.column("level"), "to": table.column("to"), "a": pa.array(said, pa.binary()), "b": pa.nulls(len(said), pa.binary())})
-
-
-def _chunk_of(docs: pa.Table, answers: pa.Table | None, shards: int):
-    keys, texts = docs.column("doc_id").to_pylist(), docs.column("text").to_pylist()
-    order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, "" if keys[i] is None else keys[i], texts[i] or ""))
-    if answers is None:
-        known = {}
-    else:
-        # b holds the shard of answers that have come back before
-        known = {(r["level"], r["to"] if r["b"] is None else int.from_bytes(r["b"], "little")): r["a"] for r in answers.to_pylist()}
-    return Chunk([(texts[i] or "").encode("utf-8") for i in order], known, shards), order
-
-
-def _asks(level: int, shards: int):
+        keys = np.zeros((2, len(of)), np.uint64)
+        for k in np.unique(self.string_in).tolist():
+            own = self.string_in == k
+            for f in (0, 1):
+                keys[f, own] = self.stretches[k].reach(self.string[own], self.length, f)
+            self._done(self.stretches[k])
+        # the place of the anchor belongs to the bucket
+        keys[0] = mixed(keys[0] + core[of] * _ODD + mixed((anchor[of] - self.string).astype(np.uint64)))
+        first, self.string_of, counts = _distinct(keys[0], keys[1])
+        return keys[0][first], np.zeros(len(first), np.uint64), keys[1][first], counts
+
+    def removed(self) -> np.ndarray:
+        """Which units go."""
+        repeats = (self.said[3][self.string_of] & 1).astype(bool)
+        _, _, _, lowest, highest, _, number = self.cells
+        marks = np.zeros(int(self.units.sizes.sum()) + 1, np.int32)
+        begin = np.array([s.a for s in self.stretches] or [0])
+        own = self.repeats
+        np.add.at(marks, begin[number[own]] + lowest[own], 1)
+        np.add.at(marks, begin[number[own]] + highest[own] + self.length, -1)
+        at = begin[self.string_in[repeats]] + self.string[repeats]
+        np.add.at(marks, at, 1)
+        np.add.at(marks, at + self.length, -1)
+        return np.cumsum(marks[:-1]) > 0
+
+    def kept(self):
+        """For each text its kept bytes, or None where all are kept, and the number of removed runs."""
+        gone = self.units.gone_bytes(self.removed())
+        for a, b in zip((np.cumsum(self.bytes) - self.bytes).tolist(), np.cumsum(self.bytes).tolist()):
+            g = gone[a:b]
+            if g.any():
+                yield self.buffer[a:b][~g].tobytes(), int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1]))
+            else:
+                yield None, 0
+
+
+def _replay(docs: pa.Table, answers: pa.Table | None, level: int, length: int, by: str):
+    """The chunk, and what it asks at ``level``; the answers of all levels before are in ``said``."""
+    said: dict[int, np.ndarray] = {}
+    if answers is not None:
+        for carry in answers.column("carry").to_pylist():
+            said |= {k: np.frombuffer(zlib.decompress(x), np.uint8) for k, x in enumerate(carry or [], 1)}
+        answers = answers.filter(pc.greater_equal(answers.column("i"), 0))
+    chunk, asked = Chunk(docs, said, length, by), None
+    for n in range(1, min(level, 3) + 1):
+        asked = (chunk.level1, chunk.level2, chunk.level3)[n - 1]()
+        if n == level - 1:
+            said[n] = np.zeros(len(asked[0]), np.uint8)
+            said[n][answers.column("i").to_numpy()] = answers.column("said").to_numpy()
+    return chunk, asked
+
+
+def _asking(level: int, length: int, by: str):
     def ask(docs: pa.Table, answers: pa.Table | None = None) -> pa.Table:
-        number = docs.column("_chunk")[0].as_py()
-        chunk, _ = _chunk_of(docs, answers, shards)
-        sent = chunk.level1()
-        for n in range(2, level + 1):
-            sent = getattr(chunk, f"level{n}")()
-        rows = [(number, lv, -1 - number, a, shard.to_bytes(4, "little")) for (lv, shard), a in chunk.answers.items()]
-        for shard, at in enumerate(_by_shard(sent[0], shards)):
-            if len(at):
-                rows.append((number, level, shard, sent[0][at].tobytes(), b"".join(x[at].tobytes() for x in sent[1:])))
-        columns = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "level", "to", "a", "b"])
+        kinds = {"chunk": pa.int32(), "i": pa.int32(), "n": pa.int32(), "a": pa.int64(), "b": pa.int64(), "c": pa.int64(), "carry": pa.list_(pa.binary())}
+        if not docs.num_rows:
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+        number = docs.column("chunk")[0].as_py()
+        chunk, (a, b, c, counts) = _replay(docs, answers, level, length, by)
+        n, more = len(a), int(level > 1)
+        # the answers so far go along in a row that has a pointer to itself
+        own = mixed(np.array([number], np.uint64) * _ODD)[:more]
+        long = lambda x, y: pa.array(np.concatenate([x, y]).view(np.int64))
+        ints = lambda x, y: pa.array(np.concatenate([x, y]).astype(np.int32))
+        carry = pa.array([None] * n + [[zlib.compress(chunk.said[k].tobytes(), 1) for k in sorted(chunk.said)]] * more, pa.list_(pa.binary()))
+        return pa.table({"chunk": pa.array(np.full(n + more, number, np.int32)), "i": ints(np.arange(n), np.full(more, -1)), "n": ints(np.minimum(counts, 2), np.ones(more, np.int64)), "a": long(a, own), "b": long(b, own), "c": long(c, own), "carry": carry})
 
     return ask
 
 
-def _searched(docs: DataFrame, n_bytes: int, finish, schema: str) -> DataFrame:
-    """``finish(docs of a chunk as table, its Chunk, order)`` after all three rounds."""
-    chunks, shards = max(1, -(-n_bytes // CHUNK_BYTES)), max(1, -(-n_bytes // SHARD_BYTES))
-    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-    by_chunk = dealt.groupBy("_chunk")
-    first = _asks(1, shards)
-    answers = by_chunk.applyInArrow(lambda t: first(t), ASKS).groupBy("to").applyInArrow(_shard, ASKS)
+def _answered(asks: DataFrame) -> DataFrame:
+    """The rows of pointers that are not alone. said: 1, + 2 if they differ in b, + 4 for the first chunk."""
+    of = Window.partitionBy("a", "c")
+    rows = asks.select("chunk", "i", "carry", F.sum("n").over(of).alias("n"), (F.min("b").over(of) != F.max("b").over(of)).alias("differ"), (F.min("chunk").over(of) == F.col("chunk")).alias("first"))
+    said = F.lit(1) + F.when(F.col("differ"), 2).otherwise(0) + F.when(F.col("first"), 4).otherwise(0)
+    return rows.where("n > 1 or i < 0").select("chunk", "i", said.cast("int").alias("said"), "carry")
+
+
+def _searched(docs: DataFrame, length: int, by: str, finish, schema) -> DataFrame:
+    """``finish(chunk)`` after all three rounds."""
+    chunks = max(1, -(-text_bytes(docs)[1] // CHUNK_BYTES))
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    by_chunk = dealt.groupBy("chunk")
+    first = _asking(1, length, by)
+    answers = _answered(by_chunk.applyInArrow(lambda t: first(t), _ASKS))
     for level in (2, 3):
-        asks = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_asks(level, shards), ASKS)
-        answers = asks.groupBy("to").applyInArrow(_shard, ASKS)
+        answers = _answered(by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_asking(level, length, by), _ASKS))
 
     def last(d: pa.Table, a: pa.Table) -> pa.Table:
-        chunk, order = _chunk_of(d, a, shards)
-        for n in (1, 2, 3):
-            getattr(chunk, f"level{n}")()
-        return finish(d, chunk, order)
+        chunk, _ = _replay(d, a, 4, length, by)
+        return finish(chunk)
 
     return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(last, schema)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, by: str = "bytes") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     docs = docs.select("doc_id", "text")
 
-    def finish(d: pa.Table, chunk: Chunk, order: list[int]) -> pa.Table:
-        sizes = [len(t) for t in chunk.texts]
-        kept = [(len(k), spans, hashlib.sha256(k).hexdigest()) for k, spans in chunk.removed()]
-        return pa.table({"doc_id": d.column("doc_id").take(pa.array(order, pa.int64())), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array([n - k[0] for n, k in zip(sizes, kept)], pa.int64()), "n_spans": pa.array([k[1] for k in kept], pa.int64()), "kept_sha256": pa.array([k[2] for k in kept], pa.string())})
+    def finish(chunk: Chunk) -> pa.Table:
+        kept, at = [], 0
+        for n, (rest, spans) in zip(chunk.bytes.tolist(), chunk.kept()):
+            rest = chunk.buffer[at : at + n].tobytes() if rest is None else rest
+            kept.append((n, n - len(rest), spans, hashlib.sha256(rest).hexdigest()))
+            at += n
+        columns = list(zip(*kept))
+        return pa.table({"doc_id": chunk.rows.field("doc_id"), **{name: pa.array(c, pa.int64()) for name, c in zip(("n_bytes", "n_removed", "n_spans"), columns)}, "kept_sha256": pa.array(columns[3], pa.string())})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _searched(docs, text_bytes(docs)[1], finish, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _searched(docs, length, by, finish, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def stripped(docs: DataFrame) -> DataFrame:
+def stripped(docs: DataFrame, length: int = LENGTH, by: str = "bytes") -> DataFrame:
     """All rows and columns of ``docs``, with what is left of ``text``. A character cut in
     two by a removal goes wholly; a null text stays null."""
     names = docs.columns
 
-    def finish(d: pa.Table, chunk: Chunk, order: list[int]) -> pa.Table:
-        d = d.take(pa.array(order, pa.int64()))
-        texts = [k.decode("utf-8", "ignore") if t is not None else None for (k, _), t in zip(chunk.removed(), d.column("text").to_pylist())]
-        return pa.table([pa.array(texts, pa.string()) if c == "text" else d.column(c) for c in names], names)
+    def finish(chunk: Chunk) -> pa.Table:
+        old = chunk.rows.field("text")
+        texts = [t.as_py() if k is None else k.decode("utf-8", "ignore") for t, (k, _) in zip(old, chunk.kept())]
+        return pa.table([pa.array(texts, pa.string()) if c == "text" else chunk.rows.field(k) for k, c in enumerate(names)], names)
 
-    return _searched(docs, text_bytes(docs)[1], finish, docs.schema)
+    return _searched(docs, length, by, finish, docs.schema)
