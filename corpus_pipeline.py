@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from framewright.llm import decontaminate, packing, simhash, suffix, toxicity
 from framewright.llm.common import load, written
 
+#: Words of the shortest passage that goes where it repeats.
+REPEATED_WORDS = 51
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,13 +28,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def strip_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that repeat go from the texts; every document stays, with its new n_chars."""
-    return suffix.stripped(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Passages of over 50 words that repeat go from the texts, wherever they stand; every
+    document stays, with its new n_chars. (In words, as they differ in length: 400 bytes, as
+    in the query of that operator, would leave half of such passages.)"""
+    return suffix.stripped(docs, REPEATED_WORDS, "words").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with passages of two or more benchmark items go; all columns stay."""
-    return decontaminate.screen(docs, load(spark, sf_dir, "benchmark"))
+    """Documents with a passage of any benchmark item go; all columns stay."""
+    return decontaminate.screen(docs, load(spark, sf_dir, "benchmark"), min_items=1)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
