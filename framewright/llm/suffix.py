@@ -37,7 +37,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -366,16 +365,17 @@ class Chunk:
 def _replay(docs: pa.Table, answers: pa.Table | None, level: int, length: int, by: str):
     """The chunk, and what it asks at ``level``; the answers of all levels before are in ``said``."""
     said: dict[int, np.ndarray] = {}
-    if answers is not None:
+    fresh = np.zeros(0, np.int64)
+    if answers is not None and answers.num_rows:
         for carry in answers.column("carry").to_pylist():
             said |= {k: np.frombuffer(zlib.decompress(x), np.uint8) for k, x in enumerate(carry or [], 1)}
-        answers = answers.filter(pc.greater_equal(answers.column("i"), 0))
+        fresh = answers.column("x").combine_chunks().flatten().to_numpy()
     chunk, asked = Chunk(docs, said, length, by), None
     for n in range(1, min(level, 3) + 1):
         asked = (chunk.level1, chunk.level2, chunk.level3)[n - 1]()
         if n == level - 1:
             said[n] = np.zeros(len(asked[0]), np.uint8)
-            said[n][answers.column("i").to_numpy()] = answers.column("said").to_numpy()
+            said[n][fresh >> 3] = fresh & 7
     return chunk, asked
 
 
@@ -398,11 +398,13 @@ def _asking(level: int, length: int, by: str):
 
 
 def _answered(asks: DataFrame) -> DataFrame:
-    """The rows of pointers that are not alone. said: 1, + 2 if they differ in b, + 4 for the first chunk."""
+    """For each chunk those of its pointers that are not alone, as x = 8 i + 1, + 2 if they
+    differ in b, + 4 for the first chunk."""
     of = Window.partitionBy("a", "c")
     rows = asks.select("chunk", "i", "carry", F.sum("n").over(of).alias("n"), (F.min("b").over(of) != F.max("b").over(of)).alias("differ"), (F.min("chunk").over(of) == F.col("chunk")).alias("first"))
     said = F.lit(1) + F.when(F.col("differ"), 2).otherwise(0) + F.when(F.col("first"), 4).otherwise(0)
-    return rows.where("n > 1 or i < 0").select("chunk", "i", said.cast("int").alias("said"), "carry")
+    said = F.when(F.col("i") >= 0, 8 * F.col("i").cast("long") + said)
+    return rows.where("n > 1 or i < 0").select("chunk", said.alias("x"), "carry").groupBy("chunk").agg(F.collect_list("x").alias("x"), F.max_by("carry", F.col("carry").isNotNull()).alias("carry"))
 
 
 def _searched(docs: DataFrame, length: int, by: str, finish, schema) -> DataFrame:
