@@ -41,10 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import CHUNK_BYTES, mixed, text_bytes
+from .common import mixed, text_bytes
 
 LENGTH = 400
 CELL = 16
+#: Bytes of text in one chunk, about.
+CHUNK_BYTES = 4 << 20
 #: Units searched together. A longer text is searched in pieces that overlap.
 TOGETHER = 1 << 19
 #: Bits of a gram's hash that choose the anchor; among equal ones the first is it.
@@ -403,7 +405,7 @@ def _answered(asks: DataFrame) -> DataFrame:
     of = Window.partitionBy("a", "c")
     rows = asks.select("chunk", "i", "carry", F.sum("n").over(of).alias("n"), (F.min("b").over(of) != F.max("b").over(of)).alias("differ"), (F.min("chunk").over(of) == F.col("chunk")).alias("first"))
     said = F.lit(1) + F.when(F.col("differ"), 2).otherwise(0) + F.when(F.col("first"), 4).otherwise(0)
-    said = F.when(F.col("i") >= 0, 8 * F.col("i").cast("long") + said)
+    said = F.when(F.col("i") >= 0, 8 * F.col("i") + said)
     return rows.where("n > 1 or i < 0").select("chunk", said.alias("x"), "carry").groupBy("chunk").agg(F.collect_list("x").alias("x"), F.max_by("carry", F.col("carry").isNotNull()).alias("carry"))
 
 
