@@ -1,13 +1,16 @@
 """Main text of web pages, by a decision tree over flat text blocks.
 
-A page becomes a flat list of text blocks. Each block is described by its number of
-words and its link density, by those of the blocks before and after it, and by the
-kinds of element it stands in. A small decision tree, trained here on the blocks of the
-hand-labelled pages in ``LABELLED``, tells which blocks are main text.
+A page becomes a flat list of text blocks. Regions that by their elements or names are no
+article (menus, asides, forms, comments, adverts, headers and footers of the page) are known
+from the page itself. Each other block is described by its number of words and its link
+density, by those of the blocks before and after it, and by the kind of element it stands in,
+and a small decision tree, trained here on the blocks of the hand-labelled pages in
+``LABELLED``, tells which of them are main text.
 
 Defined results: a null page is empty and has no text. A page without any block, or
 without any block of main text, has an empty text. Unclosed and misnested elements end
-with their surroundings. Repeated rows and rows with null ids are extracted like others.
+with their surroundings; a tag that never ends is text. Any page is read in time in proportion
+to its length, however broken. Repeated rows and rows with null ids are extracted like others.
 An empty table gives an empty result. Further columns are ignored.
 """
 
@@ -15,133 +18,217 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+TAG_END = re.compile(r"""=\s*+(["'])|>""")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 # fixed values: elements of HTML, by what they do to text
 SILENT = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "head", "title", "textarea", "select", "option", "button", "datalist"}
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "template", "svg"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "input", "nobr"}
 CONTENT = {"article", "main"}
-FRAME = {"nav", "footer", "aside", "form", "menu", "dialog"}
-AVERSE = re.compile(r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|adbox|sponsor\w*|promo\w*|banner|cookies?\w*|consent|gdpr|notice\w*|alert|warning|sidebar\w*|side|rail|comments?\w*|disqus|discussion|replies|reply|respond|reactions?|menu\w*|nav\w*|footer\w*|header|masthead|topbar|toolbar|breadcrumbs?|share\w*|social\w*|related\w*|recommend\w*|recirc|newsletter|subscri\w*|signup|login|widget\w*|popup|modal|overlay|pager|pagination|copyright|legal|disclaimer|tags|taglist|skip\w*|search\w*|outbrain|taboola|hidden)(?:$|[\s_-])", re.I)
+FRAME = {"nav", "footer", "aside"}
+#: These may also stand around an article, which then counts.
+AROUND = {"form", "menu", "dialog"}
+# names of regions: adverts, comments and the like; what may also name the layout around an article
+ADVERT = r"ad|ads|adv|advert\w*|adsense|adbox|sponsor\w*|promo\w*|outbrain|taboola"
+STRONG = re.compile(rf"(?:^|[\s_-])(?:{ADVERT}|cookies?\w*|consent|gdpr|comments?\w*|disqus|discussion|replies|reply|respond|reactions?|related\w*|recommend\w*|recirc|newsletter|subscri\w*|popup|modal|hidden)(?:$|[\s_-])", re.I)
+WEAK = re.compile(r"(?:^|[\s_-])(?:banner|notice\w*|alert|warning|sidebar\w*|side|rail|menu\w*|nav\w*|footer\w*|header|masthead|topbar|toolbar|breadcrumbs?|share\w*|social\w*|signup|login|widget\w*|overlay|pager|pagination|copyright|legal|disclaimer|tags|taglist|skip\w*|search\w*)(?:$|[\s_-])", re.I)
 FOND = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main\w*|post|post-?body|entry\w*|story\w*|body|text|prose)(?:$|[\s_-])", re.I)
+INLINE_ADVERT = re.compile(rf"(?:^|[\s_-])(?:{ADVERT})(?:$|[\s_-])", re.I)
+INLINE_UNSEEN = re.compile(r"(?:^|\s)(?:hidden|visually-hidden|visuallyhidden|sr-only|screen-reader-text)(?:$|\s)", re.I)
+#: Names of states of a layout, which say what it has, not what it is.
+STATE = re.compile(r"(?:^|(?<=\s))(?:(?:has|with|without|no|is|js)[-_]\S*|\S*[-_](?:enabled|disabled|open|closed|active|visible))(?=\s|$)", re.I)
 TITLE_PART = re.compile(r"\b(?:article|entry|post|story|content|page)[-_]+(?:header|title|heading)", re.I)
 HUMP = re.compile(r"([a-z])([A-Z])")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
-FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "in_content", "in_frame", "averse", "fond", "heading", "item", "header"]
+FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "in_content", "fond", "heading", "item"]
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "kinds", "label")
+    """A text block. ``outside``: it stands in a region that is no article. ``kinds``: in_content,
+    fond, heading, item."""
 
-    def __init__(self, text, words, linked, kinds, label):
-        self.text, self.words, self.linked, self.kinds, self.label = text, words, linked, kinds, label
+    __slots__ = ("text", "words", "linked", "kinds", "outside", "label")
+
+    def __init__(self, text, words, linked, kinds, outside, label):
+        self.text, self.words, self.linked, self.kinds, self.outside, self.label = text, words, linked, kinds, outside, label
+
+
+def tokens(page: str):
+    """(text, closing, name, attributes): the page as text (name None) and tags. Each place is
+    searched through a bounded number of times: what is known to come no more isn't sought again."""
+    at, shown, size = 0, 0, len(page)
+    quotes = ends = True
+    gone: set[str] = set()
+    while at < size:
+        start = page.find("<", at)
+        if start < 0:
+            break
+        end, name = -1, None
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 2)
+            end = size if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", start) and "]]>" not in gone and (close := page.find("]]>", start)) >= 0:
+            yield page[shown:start], False, None, ""
+            yield page[start + 9 : close].replace("&", "&amp;"), False, None, ""
+            at = shown = close + 3
+            continue
+        elif ends:
+            closing = page.startswith("/", start + 1)
+            m = NAME.match(page, start + 1 + closing)
+            if m:
+                i = m.end()
+                while quotes:
+                    q = TAG_END.search(page, i)
+                    if q is None or q[1] and (i := page.find(q[1], q.end()) + 1) == 0:
+                        quotes = False  # from here on, quotes would swallow the page
+                    elif not q[1]:
+                        end = q.end()
+                        break
+                if not quotes:
+                    end = page.find(">", m.end()) + 1 or -1
+                name = m[0].lower() if end > 0 else None
+                ends = end > 0
+            elif closing or page.startswith(("!", "?"), start + 1):
+                end = page.find(">", start) + 1 or -1
+                ends = end > 0
+            if page.startswith("<![CDATA[", start):
+                gone.add("]]>")
+        if end < 0:  # no tag: text
+            at = start + 1
+            continue
+        if start > shown:
+            yield page[shown:start], False, None, ""
+        at = shown = end
+        if name is None:
+            continue
+        yield "", closing, name, page[m.end() : end - 1]
+        if name in RAW and not closing and name not in gone:
+            close = re.compile(rf"</{name}\s*+>", re.I).search(page, at)
+            if close:
+                at = shown = close.end()
+                yield "", True, name, ""
+            elif name in ("script", "style"):
+                at = shown = size
+            else:
+                gone.add(name)
+    if shown < size:
+        yield page[shown:], False, None, ""
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order. kinds: what the block stands in."""
+    """The text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple]] = []  # (element, what its inside is)
-    #: in_content, in_frame, averse, fond, heading, item, header, silent, label
-    inside = (0, 0, 0, 0, 0, 0, 0, 0, "")
+    #: element, what its surroundings are, whether it ends a block
+    stack: list[tuple[str, tuple, bool]] = []
+    opened: Counter = Counter()
+    #: content, frame, averse, fond, heading, item, header, silent, label
+    bare = (0, 0, 0, 0, 0, 0, 0, 0, "")
+    inside = bare
     parts: list[str] = []
     linked_parts: list[str] = []
-    links = 0
-    at = 0
+    link_at = -1  # how deep the open link stands, if there is one
 
     def close():
         nonlocal parts, linked_parts
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
-            if text and not inside[7]:
+            if text:
                 linked = len(entities.unescape(" ".join(linked_parts)).split())
-                out.append(Block(text, text.count(" ") + 1, linked, inside[:7], inside[8]))
-        parts, linked_parts = [], []
-
-    def words(text):
-        if text and not inside[7]:
-            parts.append(text)
-            if links:
-                linked_parts.append(text)
+                content, frame, averse, fond, heading, item, header = inside[:7]
+                out.append(Block(text, text.count(" ") + 1, linked, (content, fond, heading, item), bool(frame or averse or (header and not content)), inside[8]))
+            parts, linked_parts = [], []
+
+    def pop():
+        nonlocal inside, link_at
+        name, before, ends = stack.pop()
+        if ends:
+            close()
+        inside = before
+        opened[name] -= 1
+        if len(stack) < link_at:
+            link_at = -1
 
-    size = len(page)
-    while at < size:
-        m = TOKEN.search(page, at)
-        if m is None:
-            words(page[at:])
-            break
-        words(page[at : m.start()])
-        at = m.end()
-        name = m[2]
+    for text, closing, name, attributes in tokens(page):
         if name is None:
-            if page.startswith("<![CDATA[", m.start()):
-                words(entities.unescape(m[0][9:-3]).replace("&", "&amp;"))
+            if text and not inside[7]:
+                parts.append(text)
+                if link_at >= 0:
+                    linked_parts.append(text)
             continue
-        name = name.lower()
-        if m[1]:
+        if closing:
             if name == "a":
-                links = max(0, links - 1)
-            if name in INLINE or name in VOID:
-                continue
-            close()
-            links = 0
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    inside = stack[k][1]
-                    del stack[k:]
-                    break
+                link_at = -1
+            if name not in INLINE and name not in VOID and name not in SILENT:
+                close()
+            if opened[name]:
+                while stack[-1][0] != name:
+                    pop()
+                pop()
             continue
-        if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = end.end() if end else (size if name in ("script", "style") else at)
-            if end or name in ("script", "style"):
-                if name not in INLINE:
-                    close()
-                continue
-        if name == "a":
-            links += 1
-        if name in INLINE:
+        if name in SILENT:  # as if it were not there
+            stack.append((name, inside, False))
+            opened[name] += 1
+            inside = (*inside[:7], 1, inside[8])
             continue
+        if name == "a":
+            link_at = len(stack)
         if name in VOID:
-            close()
+            if name not in INLINE:
+                close()
+            continue
+        given, hint = {}, ""
+        if attributes.strip():
+            given = {k.lower(): v or w or x for k, v, w, x in ATTRIBUTE.findall(attributes)}
+            hint = TITLE_PART.sub(" ", HUMP.sub(r"\1-\2", STATE.sub(" ", f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}")))
+        unseen = UNSEEN.search(given.get("style", "")) or given.get("aria-hidden") == "true" or "hidden" in given
+        if name in INLINE:
+            advert = INLINE_ADVERT.search(hint) is not None
+            unseen = unseen or INLINE_UNSEEN.search(given.get("class", ""))
+            if advert or unseen or opened[name]:
+                if advert:
+                    close()
+                stack.append((name, inside, advert))
+                opened[name] += 1
+                inside = (*inside[:2], 2 if advert else inside[2], *inside[3:7], 1 if unseen else inside[7], inside[8])
             continue
         close()
-        links = 0
+        if stack and stack[-1][0] == "head":
+            pop()
         if name == "body":
-            stack, inside = [], (0,) * 8 + ("",)
+            stack, inside, link_at = [], bare, -1
+            opened.clear()
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
-            inside = stack.pop()[1]  # these end where the next begins
+            pop()  # these end where the next begins
         if name != "p" and stack and stack[-1][0] == "p":
-            inside = stack.pop()[1]
-        stack.append((name, inside))
+            pop()
+        stack.append((name, inside, True))
+        opened[name] += 1
         content, frame, averse, fond, heading, item, header, silent, label = inside
         if name in CONTENT:
+            if not content:  # what stands around an article is the layout
+                frame, averse = frame if frame > 1 else 0, averse if averse > 1 else 0
             content = 1
         elif name in FRAME:
-            frame = 1
+            frame = 2
+        elif name in AROUND:
+            frame = max(frame, 1)
         elif name == "header":
             header = 1
         heading = int(name in ("h1", "h2", "h3", "h4", "h5", "h6"))
         item = int(name in ("li", "dt", "dd", "td", "th") or (item and name in ("p", "div", "span")))
-        silent = int(silent or name in SILENT)
-        if m[3].strip():
-            given = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m[3])}
-            hint = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}"
-            hint = TITLE_PART.sub(" ", HUMP.sub(r"\1-\2", hint))
-            if name not in ("html", "body") and hint.strip():
-                averse = int(averse or AVERSE.search(hint) is not None)
-                fond = int(fond or FOND.search(hint) is not None)
-            if UNSEEN.search(given.get("style", "")) or given.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|$)", ATTRIBUTE.sub("", m[3])):
-                silent = 1
-            label = given.get("data-label", label)
-        inside = (content, frame, averse, fond, heading, item, header, silent, label)
+        if name not in ("html", "body") and hint.strip():
+            averse = max(averse, 2 if STRONG.search(hint) else 1 if WEAK.search(hint) else 0)
+            fond = int(fond or FOND.search(hint) is not None)
+        inside = (content, frame, averse, fond, heading, item, header, int(silent or bool(unseen)), given.get("data-label", label))
     close()
     return out
 
@@ -151,7 +238,7 @@ def described(blocks: list[Block]) -> np.ndarray:
     n = len(blocks)
     words = np.array([0] + [b.words for b in blocks] + [0], float)
     links = np.array([0] + [b.linked / b.words for b in blocks] + [0], float)
-    kinds = np.array([b.kinds for b in blocks], float).reshape(n, 7)
+    kinds = np.array([b.kinds for b in blocks], float).reshape(n, 4)
     return np.column_stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], kinds])
 
 
@@ -202,9 +289,10 @@ def train(pages: list[str] | None = None) -> Tree:
     x, y = [], []
     for page in LABELLED if pages is None else pages:
         found = blocks_of(page)
-        if found:
-            x.append(described(found))
-            y += [b.label == "main" for b in found]
+        known = np.array([not b.outside for b in found], bool)
+        if known.any():
+            x.append(described(found)[known])
+            y += [b.label == "main" for b in found if not b.outside]
     return Tree(np.concatenate(x), np.array(y, float))
 
 
@@ -212,7 +300,7 @@ def main_text(page: str | None, tree: Tree) -> str:
     found = blocks_of(page or "")
     if not found:
         return ""
-    return " ".join(b.text for b, row in zip(found, described(found).tolist()) if tree(row))
+    return " ".join(b.text for b, row in zip(found, described(found).tolist()) if not b.outside and tree(row))
 
 
 def extract(pages: DataFrame) -> DataFrame:
