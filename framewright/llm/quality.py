@@ -10,7 +10,8 @@ The model is fitted on a bounded sample of labelled rows (``max_train``, the
 smallest by a hash of the id) and ``n_pairs`` pairs; scoring covers every row.
 
 Defined results: a null text is empty; an empty text has features of zero and a
-score like any other. Rows with null ids are scored, never trained on. A repeated
+score like any other. Rows with null ids are scored, never trained on (the query calls them
+held out). A repeated
 row is scored each time. Null labels are skipped. An empty or one-sided training
 set gives weights of zero and the share of label 1 as score. Further columns of
 either table are ignored.

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, html, lm, neighbours, packing, quality, simhash, suffix, toxicity, warc
 from .common import crc_remainder, load
 
 
+def held_out(column: str, n: int, remainder: int) -> Column:
+    """Nothing is learned from rows without an id, so they are held out too."""
+    return F.coalesce(crc_remainder(column, n) == remainder, F.lit(True)).alias("held_out")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     model = toxicity.train(docs, toxicity.learnable(labels))
-    return toxicity.score(docs, model).select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out("doc_id", 4, 2), "score", "predicted", "n_located", "worst")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     model = quality.train(docs, quality.learnable(labels))
-    return quality.score(docs, model).select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+    return quality.score(docs, model).select("doc_id", held_out("doc_id", 3, 1), "score", "predicted")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
+import math
 import random
 
 import numpy as np
 
-from framewright.llm import quality, toxicity
+from framewright.llm import quality, queries, toxicity
 
 from .helpers import edge_rows, frame, sentence
 
@@ -35,6 +36,56 @@ def test_toxicity_is_learned_and_located(spark):
     assert kept.columns == df.columns and kept.count() == sum(r["predicted"] == 0 for r in got.values())
 
 
+def test_scores_are_the_noisy_or_of_the_sentences(spark):
+    """Against the formula, written out: each feature of a sentence counts once, in training and in scoring."""
+    docs, labels = toxic_rows(120)
+    docs += [(900, "You dimwitz dimwitz DIMWITZ dimwitzen. fine words here"), (901, None), (902, "")]
+    df = frame(spark, docs)
+    model = toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    for k, text in docs:
+        clean, own = 1 - model.leak, []
+        for s in toxicity.sentences(text or ""):
+            features = {f for w in toxicity.WORD.findall(s.lower()) for f in toxicity.word_features(w)}
+            z = sum(model.weights.get(f, 0.0) for f in features)
+            p = 1 / (1 + math.exp(-(z + model.bias)))
+            clean *= 1 - p
+            own += [(p, s.strip())] if p >= 0.3 and features & set(model.weights) else []
+        assert math.isclose(got[k]["score"], 1 - clean, rel_tol=1e-9, abs_tol=1e-12)
+        assert got[k]["n_located"] == len(own) and (got[k]["worst"] in {s for p, s in own if p == max(own)[0]} if own else got[k]["worst"] is None)
+    # training sees the very same features
+    (row,) = toxicity.bags(frame(spark, [(1, docs[-3][1])]).selectExpr("text", "1 as label")).collect()
+    of, ends = np.frombuffer(row["features"], np.uint32).tolist(), np.frombuffer(row["ends"], np.int32).tolist()
+    parts = [set(of[a:b]) for a, b in zip([0, *ends], ends)]
+    assert parts == [{f for w in toxicity.WORD.findall(s.lower()) for f in toxicity.word_features(w)} for s in toxicity.sentences(docs[-3][1])]
+
+
+def test_features_are_chosen_by_their_documents(spark):
+    docs, labels = toxic_rows(120)
+    bags = toxicity.bags(spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs, labels)], "text string, label int"))
+    n1 = sum(y for _, y in labels)
+    n0 = len(labels) - n1
+    has = [({f for w in toxicity.WORD.findall(t.lower()) for f in toxicity.word_features(w)}, y) for (_, t), (_, y) in zip(docs, labels)]
+    want = []
+    for f in set().union(*(x for x, _ in has)):
+        pos, neg = sum(y for x, y in has if f in x), sum(1 - y for x, y in has if f in x)
+        odds = math.log((pos + 0.5) / (n1 + 1)) - math.log((neg + 0.5) / (n0 + 1))
+        if pos >= 4 and odds >= 2:
+            want.append(f)
+    assert len(want) > 5
+    assert toxicity.chosen_features(bags, n1, n0).tolist() == sorted(want)
+
+
+def test_rows_without_ids_are_held_out(spark, tmp_path):
+    docs, labels = toxic_rows(80)
+    frame(spark, [*docs, (None, "You dimwitz"), (None, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, y, 1 - y) for k, y in [*labels, (None, 1)]], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (queries.op7_toxicity, queries.op10_quality):
+        rows = query(spark, str(tmp_path)).collect()
+        assert len(rows) == 82 and all(r["held_out"] for r in rows if r["doc_id"] is None)
+        assert {r["held_out"] for r in rows} == {True, False}
+
+
 def test_toxicity_edges(spark):
     docs, labels = toxic_rows(80)
     df = frame(spark, edge_rows())
