@@ -48,3 +48,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         before = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def with_least(rows: DataFrame, component: str, value: str) -> DataFrame:
+    """``rows`` with ``name``, the least non-null ``value`` of their component. Parts of a
+    component meet in each task before the shuffle; the names are written, as in ``_least``, so
+    that the rows of a large component are dealt to several tasks."""
+    names = written(rows.groupBy(component).agg(F.min(value).alias("name")), "names")
+    return rows.join(names, component)

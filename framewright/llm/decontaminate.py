@@ -1,25 +1,25 @@
 """Benchmark decontamination by winnowing.
 
-Words of a text get numbers from the benchmark's vocabulary (0: none of it). Of each
-window of 8 words the smallest hash of its 5-word grams is its fingerprint; a
-document's windows whose fingerprint is among the benchmark's are looked up word for
-word, and hits that touch extend one another. Each span of 8 shared words holds such a
-gram, so none is missed. Items of fewer words are one window each, with a fingerprint
-of all their words.
-
-The benchmark is cut into blocks of at most ``BLOCK_BYTES`` of text; each is sent to
-the tasks whole, and each document passes all blocks in turn (one, as a rule), so the
-benchmark may be of any size. Documents are never shuffled.
+Of each window of 8 words the smallest hash of its 5-word grams is its fingerprint, in the
+benchmark and in the documents. Windows of documents whose fingerprint is among the
+benchmark's are looked up word for word, and hits that touch extend one another. Each span of
+8 shared words holds such a gram, so none is missed. Items of fewer words are one window each,
+with a fingerprint of all their words.
+
+Fingerprints of both sides are joined. A benchmark of at most ``BROADCAST_BYTES`` of text (its
+size is counted first) goes to all tasks as an index, and documents are not shuffled. A larger
+one stays distributed: the documents' fingerprints are joined with the benchmark's by a shuffle,
+then the windows that they come from, word for word, and the items of what is found; nothing
+but the lengths of short items comes to the driver.
 
 Defined results: a null text has no words; so has an empty one. Items that are null,
 wordless or without an id are no items. Repeated documents each get their row; items
-that share an id count once. An empty benchmark contaminates nothing. Further columns
-are ignored.
+that share an id count once. An empty benchmark contaminates nothing. Further columns, of any
+name, are ignored; ``screen`` keeps them as they are.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from itertools import repeat
 
@@ -27,14 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import mixed, text_bytes, written
 
 WINDOW = 8
 GRAM = 5
-BLOCK_BYTES = 8 << 20
-BLOCKS_AT_ONCE = 4
-STATE = ("_n_words", "_hit", "_items")
+BROADCAST_BYTES = 8 << 20
 #: Words of documents that are worked on together.
 WORDS_AT_ONCE = 400_000
 
@@ -104,80 +103,117 @@ class Index:
         return out
 
 
-def _passed(docs: DataFrame, index: Index) -> DataFrame:
-    """``docs`` after one block: ``_hit`` the words hit so far as packed bits, ``_items``
-    the ids found so far; all other columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    rest = [c for c in docs.columns if c not in STATE]
+def _by_broadcast(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """``rows`` (row, text) -> row, n_words, n_hit, items, with an index in each task."""
+    index = Index([(r["item"], r["text"].encode("utf-8")) for r in items.collect()])
+    shared = rows.sparkSession.sparkContext.broadcast(index)
 
-    def finished(rows, index):
-        ids = np.concatenate([x for r in rows for x in (r[0], np.zeros(WINDOW, np.int32))])
-        starts = np.cumsum([0] + [len(r[0]) + WINDOW for r in rows])
-        marks, items = np.zeros(len(ids) + 1, np.int32), [set(r[2] or ()) for r in rows]
+    def finished(own, index):
+        ids = np.concatenate([x for r in own for x in (r, np.zeros(WINDOW, np.int32))])
+        starts = np.cumsum([0] + [len(r) + WINDOW for r in own])
+        marks, items = np.zeros(len(ids) + 1, np.int32), [set() for _ in own]
         for place, size, found in index.hits(ids):
             marks[place] += 1
             marks[place + size] -= 1
             items[int(np.searchsorted(starts, place, side="right")) - 1] |= found
-        marked = np.cumsum(marks[:-1]) > 0
-        for (own, hit, _), start, found in zip(rows, starts.tolist(), items):
-            m = marked[start : start + len(own)]
-            if hit:
-                m = m | np.unpackbits(np.frombuffer(hit, np.uint8), count=len(own)).astype(bool)
-            yield len(own), np.packbits(m).tobytes() if m.any() else None, sorted(found) or None
+        hit = np.concatenate(([0], np.cumsum(np.cumsum(marks[:-1]) > 0)))
+        for r, start, found in zip(own, starts.tolist(), items):
+            yield len(r), int(hit[start + len(r)] - hit[start]), sorted(found)
 
     def over(batches):
         index = shared.value
         for batch in batches:
-            out, rows, n = [], [], 0
-            for text, hit, items in zip(batch.column("text").to_pylist(), batch.column("_hit").to_pylist(), batch.column("_items").to_pylist()):
+            out, own, n = [], [], 0
+            for text in batch.column("text").to_pylist():
                 words = words_of((text or "").encode("utf-8"))
-                rows.append((np.fromiter(map(index.vocabulary.get, words, repeat(0)), np.int32, len(words)), hit, items))
+                own.append(np.fromiter(map(index.vocabulary.get, words, repeat(0)), np.int32, len(words)))
                 n += len(words) + WINDOW
                 if n > WORDS_AT_ONCE:
-                    out += finished(rows, index)
-                    rows, n = [], 0
-            if rows:
-                out += finished(rows, index)
-            found = [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *found], [*rest, *STATE])
+                    out += finished(own, index)
+                    own, n = [], 0
+            if own:
+                out += finished(own, index)
+            found = [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *found], ["row", "n_words", "n_hit", "items"])
+
+    return rows.mapInArrow(over, f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_hit long, items array<string>")
+
+
+def _windows(words: list[bytes], sizes) -> list[tuple[int, int, int]]:
+    """(fingerprint, place, words) of the windows of a text, for each size."""
+    ids = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)) | np.uint64(1)
+    out = []
+    for size in sizes:
+        prints = window_prints(ids) if size == WINDOW else gram_hashes(ids, size)
+        out += zip(prints.view(np.int64).tolist(), range(len(prints)), repeat(size))
+    return out
+
 
-    return docs.mapInArrow(over, docs.select(*rest, *STATE).schema)
+def _by_shuffle(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The same by joins of fingerprints, then of windows, then of items."""
 
+    def of_items(batches):
+        for batch in batches:
+            out = set()
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text.encode("utf-8"))
+                if words:
+                    out |= {(p, b" ".join(words[i : i + n]), n, item) for p, i, n in _windows(words, [min(WINDOW, len(words))])}
+            columns = list(zip(*sorted(out))) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int32(), pa.string()))], ["print", "window", "size", "item"])
+
+    def counted(batches):
+        for batch in batches:
+            n = [len(words_of((t or "").encode("utf-8"))) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(n, pa.int64())], ["row", "text", "n_words"])
 
-def _searched(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> DataFrame:
-    state = docs.withColumns({"_n_words": F.lit(0).cast("long"), "_hit": F.lit(None).cast("binary"), "_items": F.lit(None).cast("array<string>")})
-    for k, index in enumerate(blocks(benchmark, block_bytes)):
-        if k and k % BLOCKS_AT_ONCE == 0:
-            state = written(state, "passed")
-        state = _passed(state, index)
-    return state
+    of_benchmark = written(items.mapInArrow(of_items, "print long, window binary, size int, item string").distinct(), "windows")
+    sizes = [r[0] for r in of_benchmark.select("size").distinct().collect()]  # at most eight
+    # written, so that the numbers of the rows are the same whenever they are read
+    numbered = written(rows.mapInArrow(counted, f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words long").withColumn("uid", F.monotonically_increasing_id()), "numbered")
 
+    def prints(batches):
+        for batch in batches:
+            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist()):
+                own = {p for p, _, _ in _windows(words_of((text or "").encode("utf-8")), sizes)}
+                yield pa.RecordBatch.from_arrays([pa.array([uid] * len(own), pa.int64()), pa.array(list(own), pa.int64())], ["uid", "print"])
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The benchmark as indexes of bounded size."""
+    def candidates(batches):
+        for batch in batches:
+            for uid, text, own in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "prints"))):
+                words, own = words_of((text or "").encode("utf-8")), set(own)
+                found = [(i, n, b" ".join(words[i : i + n])) for p, i, n in _windows(words, sizes) if p in own]
+                columns = list(zip(*found)) or [[]] * 3
+                yield pa.RecordBatch.from_arrays([pa.array([uid] * len(found), pa.int64()), *(pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.binary())))], ["uid", "place", "size", "window"])
+
+    texts = numbered.select("uid", "text")
+    met = texts.mapInArrow(prints, "uid long, print long").join(of_benchmark.select("print").distinct(), "print", "left_semi")
+    live = texts.join(met.groupBy("uid").agg(F.collect_list("print").alias("prints")), "uid")
+    hits = written(live.mapInArrow(candidates, "uid long, place int, size int, window binary").join(of_benchmark.select("window").distinct(), "window", "left_semi"), "hits")
+    # spans in order; each adds what lies beyond the end of those before
+    spans = F.sort_array(F.collect_list(F.struct("place", "size")))
+    none = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    add = lambda acc, x: F.struct(F.greatest(acc["end"], x["place"] + x["size"]).alias("end"), (acc["n"] + F.greatest(F.lit(0), x["place"] + x["size"] - F.greatest(acc["end"], x["place"]))).alias("n"))
+    n_hit = hits.groupBy("uid").agg(spans.alias("spans")).select("uid", F.aggregate("spans", none, add)["n"].cast("long").alias("n_hit"))
+    of_doc = hits.select("uid", "window").distinct().join(of_benchmark.select("window", "item").distinct(), "window").groupBy("uid").agg(F.collect_set("item").alias("items"))
+    found = n_hit.join(of_doc, "uid")
+    return numbered.select("uid", "row", "n_words").join(found, "uid", "left").select("row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def _searched(docs: DataFrame, keep: list[str], benchmark: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """row (the columns ``keep``), n_words, n_hit, items of every document."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
-    n = max(1, -(-text_bytes(items)[1] // block_bytes))
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
-        yield Index([(r["item"], r["text"].encode("utf-8")) for r in rows])
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), "text")
+    return (_by_broadcast if text_bytes(items)[1] <= broadcast_bytes else _by_shuffle)(rows, items)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, min_items: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, min_items: int = 2, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row."""
-    state = _searched(docs.select("doc_id", "text"), benchmark, block_bytes)
-
-    def digest(batches):
-        for batch in batches:
-            hit = [0 if h is None else int(np.bitwise_count(np.frombuffer(h, np.uint8)).sum()) for h in batch.column("_hit").to_pylist()]
-            items = [x or [] for x in batch.column("_items").to_pylist()]
-            sha = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_n_words"), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array(sha), pa.array([len(x) >= min_items for x in items], pa.bool_())], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return state.select("doc_id", *STATE).mapInArrow(digest, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    found = _searched(docs, ["doc_id"], benchmark, broadcast_bytes)
+    n = F.size("items").cast("long")
+    return found.select("row.doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n >= min_items).alias("contaminated"))
 
 
-def screen(docs: DataFrame, benchmark: DataFrame, min_items: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def screen(docs: DataFrame, benchmark: DataFrame, min_items: int = 2, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, columns as they are."""
-    state = _searched(docs, benchmark, block_bytes)
-    return state.where(F.coalesce(F.size("_items"), F.lit(0)) < min_items).select(*docs.columns)
+    return _searched(docs, docs.columns, benchmark, broadcast_bytes).where(F.size("items") < min_items).select("row.*")

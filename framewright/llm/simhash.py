@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .common import doc_rows, written
-from .components import connected_components
+from .components import connected_components, with_least
 
 SHINGLE = 4
 SEED = 42
@@ -194,16 +194,19 @@ def near_edges(distinct_fp: DataFrame) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id of every row of ``docs`` (doc_id, text)."""
     fps = written(fingerprints(docs), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = written(connected_components(near_edges(classes)), "components")
-    of_class = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    names = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of_class.join(names, "component").select("fp", "component_id")
-    return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    found = connected_components(near_edges(classes)).withColumnRenamed("node", "fp")
+    # a fingerprint without links is its own component; only the others are grouped
+    linked = classes.join(found, "fp")
+    named = with_least(linked, "component", "least").select("fp", F.col("name").alias("component_id"))
+    single = classes.join(found.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
+    return fps.join(named.unionByName(single), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest doc_id of their component, columns as they
     are; repeated rows of one id stay, and so do rows with null ids."""
-    kept = components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id is null"))
+    kept = components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    # the names of the other columns don't matter inside a struct
+    rows = docs.select(F.col("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(kept, "doc_id", "left_semi").unionByName(rows.where("doc_id is null")).select("row.*")

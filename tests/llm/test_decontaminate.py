@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from framewright.llm import decontaminate
 
 from .helpers import edge_rows, frame, sentence
@@ -54,22 +56,44 @@ def key(row):
     return str(row)
 
 
-def test_matches_brute_force_in_one_block_and_in_many(spark):
+def test_matches_brute_force_by_broadcast_and_by_shuffle(spark):
     docs, items = cases()
     want = sorted(plain(docs, items), key=key)
     assert sum(r[5] for r in want) > 5
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    for block_bytes in (1 << 20, 300):
-        got = decontaminate.contamination(frame(spark, docs), bench, block_bytes=block_bytes).collect()
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("size", F.lit("x"))
+    for broadcast_bytes in (1 << 20, 0):
+        got = decontaminate.contamination(frame(spark, docs), bench, broadcast_bytes=broadcast_bytes).collect()
         assert sorted((tuple(r) for r in got), key=key) == want
 
 
+def test_a_large_benchmark_is_not_collected(spark, monkeypatch):
+    docs, items = cases()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "_by_broadcast", None)
+    monkeypatch.setattr(decontaminate, "Index", None)
+    got = decontaminate.screen(frame(spark, docs), bench, min_items=1, broadcast_bytes=100)
+    assert got.count() == sum(r[3] == 0 for r in plain(docs, items))
+
+
+def test_columns_of_any_name(spark):
+    docs, items = cases()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = frame(spark, docs).withColumns({c: F.lit(f"own {c}") for c in ("_items", "_hit", "_n_words", "items", "row", "uid", "n_hit")})
+    clean = [r[0] for r in plain(docs, items) if r[3] == 0]
+    for broadcast_bytes in (1 << 20, 0):
+        got = decontaminate.screen(df, bench, min_items=1, broadcast_bytes=broadcast_bytes)
+        assert got.columns == df.columns
+        rows = got.collect()
+        assert len(rows) == len(clean) and all(r[c] == f"own {c}" for r in rows for c in ("_items", "_hit", "_n_words", "items", "row", "uid", "n_hit"))
+
+
 def test_empty_tables_and_screen(spark):
     docs, items = cases()
     bench = spark.createDataFrame(items, "item_id long, text string")
     none = bench.where("false")
-    assert {r["n_items"] for r in decontaminate.contamination(frame(spark, docs), none).collect()} == {0}
-    assert decontaminate.contamination(frame(spark, []), bench).count() == 0
+    for broadcast_bytes in (1 << 20, -1):
+        assert {r["n_items"] for r in decontaminate.contamination(frame(spark, docs), none, broadcast_bytes=broadcast_bytes).collect()} == {0}
+        assert decontaminate.contamination(frame(spark, []), bench, broadcast_bytes=broadcast_bytes).count() == 0
     df = frame(spark, docs)
     kept = decontaminate.screen(df, bench)
     assert kept.columns == df.columns

@@ -58,7 +58,7 @@ def test_empty_table(spark):
 
 def test_keep_one(spark):
     rows = [(3, "a b c d"), (5, "A b c d"), (9, "quite another text of words"), (None, "a b c d")]
-    docs = frame(spark, rows)
+    docs = frame(spark, rows).withColumns({"_kept": F.lit(1), "row": F.lit(2), "fp": F.lit("x"), "component_id": F.lit(5)})
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 3, 9]
