@@ -62,9 +62,16 @@ def after_thinking(s: Column) -> Column:
 
 
 def until_end_mark(s: Column) -> Column:
-    """Up to the first </s> at or after character 5 (from 0)."""
+    """Up to the first </s> at or after character 5 (from 0), the mark included."""
     at = F.locate("</s>", s, 6)
-    return F.when(at > 0, F.substring(s, F.lit(1), at - 1)).otherwise(s)
+    return F.when(at > 0, F.substring(s, F.lit(1), at + 3)).otherwise(s)
+
+
+def html_escaped(s: Column) -> Column:
+    """For text and attributes of HTML."""
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        s = F.replace(s, F.lit(mark), F.lit(name))
+    return s
 
 
 def parse_verdict(answer: Column) -> Column:

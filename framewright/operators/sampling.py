@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from ..functions import geometry as geo
 from ..functions import text as txt
+from ..plans.shared import stored
 
 
 def rank(seed: int, *keys: str) -> Column:
@@ -66,10 +67,17 @@ def waterfall(raw: DataFrame, max_phrases: int = 12, phrases: str = "grounding")
 
 def nearest_ranks(df: DataFrame, value: str, ps: list[float]) -> DataFrame:
     """p, value at index floor(n p) of the sorted values. Values are counted first, so what
-    is ranked is the distinct values, not the rows."""
+    is ranked is the distinct values, not the rows; they are dealt to ranges, each summed up in
+    its task, after the sums of the ranges before it."""
     counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.select("v", upto.alias("upto"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, as ranges are drawn from a sample and might differ if they were worked out twice
+    dealt = stored(counts.repartitionByRange(ranges, "v").withColumn("part", F.spark_partition_id()), "ranges")
+    sums = dealt.groupBy("part").agg(F.sum("n").alias("own"))  # a row for each range
+    of_all = Window.partitionBy(F.lit(0))
+    sums = sums.select("part", (F.sum("own").over(of_all.orderBy("part")) - F.col("own")).alias("before"), F.sum("own").over(of_all).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = dealt.withColumn("own", upto).join(F.broadcast(sums), "part").select("v", (F.col("own") + F.col("before")).alias("upto"), "total")
     at = lambda p: F.least(F.floor(F.col("total") * p), F.col("total") - 1)
     row = ranked.agg(*(F.min(F.when(F.col("upto") > at(p), F.col("v"))).alias(f"v{i}") for i, p in enumerate(ps)))
     return row.selectExpr(f"stack({len(ps)}, " + ", ".join(f"{float(p)}D, v{i}" for i, p in enumerate(ps)) + ") as (p, value)").where("value is not null")

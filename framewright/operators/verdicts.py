@@ -3,7 +3,7 @@ Only first boxes are audited, so slot 0 has the verdict of (path, phrase)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .reconcile import index
@@ -29,13 +29,19 @@ def flat_slots(side: DataFrame) -> DataFrame:
 
 def totals(side: DataFrame) -> DataFrame:
     """kind, value, n: images, box slots, audited and null slots; audited by verdict, k and box index."""
-    slots = flat_slots(side)
-    audited = slots.where("verdict is not null")
-    head = side.agg(F.count(F.lit(1)).alias("img"), F.sum("n_pair").alias("pair"), F.sum("n_audited").alias("audited"))
-    rows = head.selectExpr("stack(4, 'img', img, 'pair', pair, 'audited', audited, 'null', pair - audited) as (kind, n)").select("kind", F.lit("").alias("value"), F.col("n").cast("long").alias("n"))
-    for kind, column in (("verdict", "verdict"), ("k", "k"), ("box", "j")):
-        rows = rows.unionByName(audited.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind)).select("kind", "value", "n"))
-    return rows
+    entry = lambda kind, value, n: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), n.cast("long").alias("n"))
+    none, one = F.lit(""), F.lit(1)
+    head = F.array(entry("img", none, one), entry("pair", none, F.col("n_pair")), entry("audited", none, F.col("n_audited")), entry("null", none, F.col("n_pair") - F.col("n_audited")))
+
+    def of_phrase(c: Column, k: Column) -> Column:
+        slots = F.filter(F.transform(c["slots"], lambda v, j: F.struct(v.alias("v"), j.alias("j"))), lambda s: s["v"].isNotNull())
+        return F.flatten(F.transform(slots, lambda s: F.array(entry("verdict", s["v"], one), entry("k", k, one), entry("box", s["j"], one))))
+
+    # one pass: each row gives its counts, which meet in each task before the shuffle
+    entries = F.concat(head, F.flatten(F.transform("verdict", of_phrase)))
+    rows = side.select(F.explode(entries).alias("e")).select("e.*")
+    zero = side.sparkSession.createDataFrame([(kind, "", 0) for kind in ("img", "pair", "audited", "null")], "kind string, value string, n long")
+    return rows.unionByName(zero).groupBy("kind", "value").agg(F.sum("n").alias("n"))
 
 
 def unmatched(cleaned: DataFrame, verified: DataFrame) -> DataFrame:

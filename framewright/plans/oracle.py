@@ -40,6 +40,21 @@ def iou(a: str, b: str) -> str:
     return f"(CASE WHEN least({a}[3], {b}[3]) <= greatest({a}[1], {b}[1]) OR least({a}[4], {b}[4]) <= greatest({a}[2], {b}[2]) OR {union} <= 0 THEN 0.0::DOUBLE ELSE {inter} / {union} END)"
 
 
+def rounded(x: str, digits: int) -> str:
+    """By the binary value, ties to even, from the exact error of the product."""
+    ten = f"1e{digits}::DOUBLE"
+    high = "(v * 134217729.0::DOUBLE - (v * 134217729.0::DOUBLE - v))"
+    p = f"(v * {ten})"
+    over = f"({p} - floor({p}) - 0.5::DOUBLE + (({high} * {ten} - {p}) + (v - {high}) * {ten}))"
+    return f"list_transform([CAST({x} AS DOUBLE)], lambda v: (floor({p}) + CASE WHEN {over} > 0 THEN 1 WHEN {over} < 0 THEN 0 ELSE CAST(floor({p}) AS BIGINT) % 2 END) / {ten})[1]"
+
+
+def escaped(s: str) -> str:
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
+        s = f"replace({s}, '{mark}', '{name}')"
+    return s
+
+
 def dedup(boxes: str) -> str:
     return f"list_reduce(list_transform({boxes}, lambda b: [b]), lambda acc, e: CASE WHEN len(list_filter(acc, lambda q: {iou('e[1]', 'q')} > 0.9)) = 0 THEN list_concat(acc, e) ELSE acc END)"
 
@@ -124,9 +139,9 @@ def cleaned(name: str | Profile, p: str = "") -> str:
 FLAT = "SELECT doc_id, k, phrase, CAST(j - 1 AS BIGINT) AS j, boxes[j][1] AS x0, boxes[j][2] AS y0, boxes[j][3] AS x1, boxes[j][4] AS y1 FROM (SELECT *, unnest(range(1, len(boxes) + 1)) AS j FROM {p}kept)"
 
 #: vf (doc_id, path, k, phrase, box, n_box, crop_frac, verdict), after cleaned("rec").
-VERDICTS = """
+VERDICTS = f"""
 vf AS (SELECT doc_id, 'doc/' || doc_id AS path, k, phrase, boxes[1] AS box, CAST(len(boxes) AS BIGINT) AS n_box,
-  round((boxes[1][3] - boxes[1][1]) * (boxes[1][4] - boxes[1][2]) / 307200, 4) AS crop_frac,
+  {rounded("(boxes[1][3] - boxes[1][1]) * (boxes[1][4] - boxes[1][2]) / 307200", 4)} AS crop_frac,
   CASE WHEN (7 * doc_id + 3 * k) % 20 = 0 THEN 'ERROR' WHEN (7 * doc_id + 3 * k) % 20 = 1 THEN 'TOO_SMALL' WHEN (7 * doc_id + 3 * k) % 20 = 2 THEN 'UNPARSED' WHEN (7 * doc_id + 3 * k) % 20 <= 8 THEN 'NO' ELSE 'YES' END AS verdict
   FROM kept WHERE k < 12)
 """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions import text as txt
-from ..operators import calibrate, clean, infer, legacy, reconcile, report, sampling, verdicts
+from ..operators import calibrate, clean, legacy, reconcile, report, sampling, verdicts
 from ..streaming import incremental
 from . import fixtures as fx
 from . import oracle as sql
@@ -57,25 +57,25 @@ def _(spark, d):
     return reconcile.compact_report(fx.log(spark, d).withColumn("part", F.col("path") % 4), "path", by="part")
 
 
-_WORK = f"{_LOG}, work AS (SELECT DISTINCT path FROM log), done AS (SELECT * FROM log WHERE seq % 50 = 0)"
+_WORK = f"{_LOG}, work AS (SELECT DISTINCT path FROM log), done AS (SELECT * FROM log WHERE payload > 40)"
 
 
 @query("resume_pending", f"{_WORK} SELECT path FROM work WHERE path NOT IN (SELECT path FROM done WHERE ok)")
 def _(spark, d):
     log = fx.log(spark, d)
-    return reconcile.pending(log.select("path").distinct(), log.where("seq % 50 = 0"), "path")
+    return reconcile.pending(log.select("path").distinct(), log.where("payload > 40"), "path")
 
 
 @query("resume_pending_legacy", f"{_WORK} SELECT path FROM work WHERE path NOT IN (SELECT path FROM done)")
 def _(spark, d):
     log = fx.log(spark, d)
-    return reconcile.pending(log.select("path").distinct(), log.where("seq % 50 = 0"), "path", ok=None)
+    return reconcile.pending(log.select("path").distinct(), log.where("payload > 40"), "path", ok=None)
 
 
-@query("resume_pending_pairs", "SELECT DISTINCT user_id AS path, event_type AS phrase FROM events e WHERE NOT EXISTS (SELECT 1 FROM events f WHERE f.user_id = e.user_id AND f.event_type = e.event_type AND f.event_id % 9 = 0 AND f.value > 20)")
+@query("resume_pending_pairs", "SELECT DISTINCT user_id AS path, event_type AS phrase FROM events e WHERE NOT EXISTS (SELECT 1 FROM events f WHERE f.user_id = e.user_id AND f.event_type = e.event_type AND f.value > 20)")
 def _(spark, d):
     e = fx.table(spark, d, "events").select(F.col("user_id").alias("path"), F.col("event_type").alias("phrase"), "event_id", (F.col("value") > 20).alias("ok"))
-    return reconcile.pending(e.select("path", "phrase").distinct(), e.where("event_id % 9 = 0"), "path", "phrase")
+    return reconcile.pending(e.select("path", "phrase").distinct(), e.where("value > 15"), "path", "phrase")
 
 
 @query("dup_key_audit", "SELECT count(*) AS n_rows, count(DISTINCT (user_id, event_type)) AS n_keys, count(*) - count(DISTINCT (user_id, event_type)) AS n_repeats FROM events")
@@ -115,8 +115,8 @@ def _(spark, d):
     return fx.table(spark, d, "conversations").select("conv_id", "turn", txt.word_count(F.col("text")).alias("n_words"))
 
 
-_MARKS = """WITH s AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN ' <think>' || substr(text, 1, 9) || '</think> ' ELSE '' END || CASE WHEN conv_id % 2 = 0 THEN 'Yes ' ELSE 'no, ' END || substr(text, 1, 40) || '</s>rest</s> ' AS s FROM conversations)
-SELECT conv_id, turn, trim(CASE WHEN instr(s, '</think>') > 0 THEN substr(s, instr(s, '</think>') + 8) ELSE s END, chr(32) || chr(9) || chr(10) || chr(13)) AS answer, CASE WHEN instr(substr(s, 6), '</s>') > 0 THEN substr(s, 1, instr(substr(s, 6), '</s>') + 4) ELSE s END AS cut,
+_MARKS = """WITH s AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN ' <think>' || text || '</think> ' ELSE '' END || CASE WHEN conv_id % 2 = 0 THEN 'Yes ' ELSE 'no, ' END || text || '</s>rest</s> ' AS s FROM conversations)
+SELECT conv_id, turn, trim(CASE WHEN instr(s, '</think>') > 0 THEN substr(s, instr(s, '</think>') + 8) ELSE s END, chr(32) || chr(9) || chr(10) || chr(13)) AS answer, CASE WHEN instr(substr(s, 6), '</s>') > 0 THEN substr(s, 1, instr(substr(s, 6), '</s>') + 8) ELSE s END AS cut,
 CASE WHEN lower(s) LIKE 'yes%' THEN 'YES' WHEN lower(s) LIKE 'no%' THEN 'NO' ELSE 'UNPARSED' END AS verdict, 'is it ' || trim(role) || '?' AS prompt FROM s JOIN conversations USING (conv_id, turn)"""
 
 
@@ -127,16 +127,12 @@ def _markers(spark, d, thought, said):
 
 
 @query("text_markers", _MARKS)
-def _(spark, d):
-    return _markers(spark, d, F.substring("text", 1, 9), F.substring("text", 1, 40))
-
-
-@query("text_markers_whole", _MARKS.replace("substr(text, 1, 9)", "text").replace("substr(text, 1, 40)", "text"))
 def _(spark, d):
     return _markers(spark, d, F.col("text"), F.col("text"))
 
 
-_CAPTION = f"""WITH c AS (SELECT n_chars < 200 AS missing, CASE WHEN n_chars >= 200 THEN {sql.words('substr(text, 1, 80)')} END AS s, CASE WHEN n_chars >= 200 THEN {sql.words('text')} END AS d FROM documents)
+_FIRST = "regexp_extract(text, '^[^.!?]*')"
+_CAPTION = f"""WITH c AS (SELECT n_chars < 200 AS missing, CASE WHEN n_chars >= 200 THEN {sql.words(_FIRST)} END AS s, CASE WHEN n_chars >= 200 THEN {sql.words('text')} END AS d FROM documents)
 SELECT count(*) AS n, count(*) FILTER (WHERE missing) AS missing, median(s) AS short_median, round(avg(s), 6) AS short_mean, median(d) AS dense_median, round(avg(d), 6) AS dense_mean FROM c"""
 
 
@@ -145,13 +141,7 @@ def _(spark, d):
     return report.caption_stats(fx.captions(spark, d)).withColumns({c: F.round(c, 6) for c in ("short_mean", "dense_mean")})
 
 
-@query("lexical_recall", f"WITH p AS (SELECT {sql.nouns('substr(text, 1, 200)')} AS g, {sql.nouns('substr(text, 101, 400)')} AS p FROM documents) SELECT count(*) AS n, round(avg(len(list_intersect(g, p)) / len(g)), 6) AS recall, round(avg(len(list_filter(p, lambda x: NOT list_contains(g, x)))), 6) AS extra FROM p WHERE len(g) > 0")
-def _(spark, d):
-    rows = fx.table(spark, d, "documents").select(F.substring("text", 1, 200).alias("gold"), F.substring("text", 101, 400).alias("said"))
-    return legacy.lexical_recall(rows, "gold", "said").withColumns({c: F.round(c, 6) for c in ("recall", "extra")})
-
-
-@query("lexical_recall_whole", f"WITH p AS (SELECT {sql.nouns('text')} AS g, {sql.nouns("replace(text, 'th', 'd')")} AS p FROM documents) SELECT count(*) AS n, round(avg(len(list_intersect(g, p)) / len(g)), 6) AS recall, round(avg(len(list_filter(p, lambda x: NOT list_contains(g, x)))), 6) AS extra FROM p WHERE len(g) > 0")
+@query("lexical_recall", f"WITH p AS (SELECT {sql.nouns('text')} AS g, {sql.nouns("replace(text, 'th', 'd')")} AS p FROM documents) SELECT count(*) AS n, round(avg(len(list_intersect(g, p)) / len(g)), 6) AS recall, round(avg(len(list_filter(p, lambda x: NOT list_contains(g, x)))), 6) AS extra FROM p WHERE len(g) > 0")
 def _(spark, d):
     rows = fx.table(spark, d, "documents").select(F.col("text").alias("gold"), F.replace("text", F.lit("th"), F.lit("d")).alias("said"))
     return legacy.lexical_recall(rows, "gold", "said").withColumns({c: F.round(c, 6) for c in ("recall", "extra")})
@@ -180,7 +170,7 @@ def _boxes16(spark, d):
     return rows.select("vec_id", "i", F.array(F.least(c[0], c[2]), F.least(c[1], c[3]), F.greatest(c[0], c[2]), F.greatest(c[1], c[3])).alias("b"))
 
 
-@query("box_geometry", f"WITH {_BOX16} SELECT vec_id, i, round((b[3] - b[1]) * (b[4] - b[2]), 6) AS area, round(least(abs(b[3] - b[1]), abs(b[4] - b[2])), 6) AS short_side, round((b[3] - b[1]) * (b[4] - b[2]) / 307200, 4) AS fraction FROM b16")
+@query("box_geometry", f"WITH {_BOX16} SELECT vec_id, i, round((b[3] - b[1]) * (b[4] - b[2]), 6) AS area, round(least(abs(b[3] - b[1]), abs(b[4] - b[2])), 6) AS short_side, {sql.rounded('(b[3] - b[1]) * (b[4] - b[2]) / 307200', 4)} AS fraction FROM b16")
 def _(spark, d):
     b = F.col("b")
     return _boxes16(spark, d).select("vec_id", "i", F.round(geo.area(b), 6).alias("area"), F.round(geo.short_side(b), 6).alias("short_side"), geo.area_fraction(b, F.lit(640), F.lit(480)).alias("fraction"))
@@ -210,7 +200,7 @@ def _(spark, d):
 # --- cleaning
 
 for _name in ("default", "rec", "c", "old", "new"):
-    query(f"clean_{_name}", f"WITH {sql.FIXTURE}, {sql.cleaned(_name)} {sql.FLAT.format(p='')}")(lambda spark, d, name=_name: clean.flat(fx.cleaned(spark, d, name), "doc_id"))
+    query(f"clean_{_name}", f"WITH {sql.FIXTURE}, {sql.cleaned(_name)} {sql.FLAT.format(p='')}")(lambda spark, d, name=_name: clean.flat(fx.fresh(spark, d, name), "doc_id"))
 
 _IN = "SELECT doc_id, k, CAST(cap <> '' AND norm <> '' AND contains(cap, norm) AS BOOLEAN) AS inside, CAST(cap <> '' AND norm <> '' AND contains(' ' || cap || ' ', ' ' || norm || ' ') AS BOOLEAN) AS whole"
 
@@ -323,7 +313,7 @@ def _(spark, d):
 _CROP = "greatest(0.0::DOUBLE, b[1] - (b[3] - b[1]) * 0.1::DOUBLE) AS x0, greatest(0.0::DOUBLE, b[2] - (b[4] - b[2]) * 0.1::DOUBLE) AS y0, least(640.0::DOUBLE, b[3] + (b[3] - b[1]) * 0.1::DOUBLE) AS x1, least(480.0::DOUBLE, b[4] + (b[4] - b[2]) * 0.1::DOUBLE) AS y1"
 
 
-@query("crop_rect", f"{sql.rec()}, c AS (SELECT doc_id, k, boxes[1] AS b FROM kept WHERE k < 12), r AS (SELECT doc_id, k, b, {_CROP} FROM c) SELECT doc_id, k, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1, round((b[3] - b[1]) * (b[4] - b[2]) / 307200, 4) AS crop_frac, round_even(x1, 0) - round_even(x0, 0) < 8 OR round_even(y1, 0) - round_even(y0, 0) < 8 AS small FROM r")
+@query("crop_rect", f"{sql.rec()}, c AS (SELECT doc_id, k, boxes[1] AS b FROM kept WHERE k < 12), r AS (SELECT doc_id, k, b, {_CROP} FROM c) SELECT doc_id, k, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1, {sql.rounded('(b[3] - b[1]) * (b[4] - b[2]) / 307200', 4)} AS crop_frac, round_even(x1, 0) - round_even(x0, 0) < 8 OR round_even(y1, 0) - round_even(y0, 0) < 8 AS small FROM r")
 def _(spark, d):
     rows = sampling.verify_tasks(fx.cleaned(spark, d), "doc_id", "img_w", "img_h")
     c = F.col("crop")
@@ -484,7 +474,7 @@ def _(spark, d):
 @query("calibration_by_bucket", f"{sql.rec(sql.VERDICTS, sql.ANSWERS)}, bk AS (SELECT *, {_case('crop_frac', report.AREA)} AS bucket FROM an), {_calibrated('bk', 'bucket', '7425.0::DOUBLE', '3165.0::DOUBLE')}")
 def _(spark, d):
     rows = fx.answers(spark, d).withColumn("bucket", report._bucket(F.col("crop_frac"), report.AREA))
-    return _rounded(calibrate.calibration(rows, 7425, 3165, "bucket"))
+    return _rounded(calibrate.calibration(rows, 7425, 3165, "bucket", strict=False))  # a bucket may lack verdicts of one kind
 
 
 @query("human_restore", f"{sql.rec(sql.VERDICTS, sql.ANSWERS)} SELECT v.path, v.phrase, v.verdict, a.human FROM vf v LEFT JOIN an a ON a.path = v.path AND a.phrase = v.phrase")
@@ -494,22 +484,11 @@ def _(spark, d):
 
 # --- older analyses
 
-_CHAINS = "fl AS (SELECT doc_id AS id, substr(text, 1, 30) AS caption, n_chars / 100.0::DOUBLE AS dt_s, CASE WHEN doc_id % 9 = 0 THEN 'E' END AS error FROM documents WHERE doc_id % 2 = 0), qw AS (SELECT doc_id AS id, upper(lang) AS short, n_chars / 50.0::DOUBLE AS dt_s, CASE WHEN doc_id % 5 = 0 THEN 'E' END AS error FROM documents WHERE doc_id % 3 = 0)"
-
-
-def _chains(spark, d):
-    docs = fx.table(spark, d, "documents").withColumnRenamed("doc_id", "id")
-    error = lambda n: F.when(F.col("id") % n == 0, "E").alias("error")
-    fl = docs.where("id % 2 = 0").select("id", F.substring("text", 1, 30).alias("caption"), (F.col("n_chars") / 100.0).alias("dt_s"), error(9))
-    qw = docs.where("id % 3 = 0").select("id", F.upper("lang").alias("short"), (F.col("n_chars") / 50.0).alias("dt_s"), error(5))
-    return docs.select("id"), fl, qw
-
-
 #: Over whole texts; what a chain lacks, it lacks for the length of the document.
-_CHAINS_WHOLE = "fl AS (SELECT doc_id AS id, text AS caption, n_chars / 100.0::DOUBLE AS dt_s, CASE WHEN n_chars < 200 THEN 'ShortDoc' END AS error FROM documents), qw AS (SELECT doc_id AS id, upper(lang) || ' ' || text AS short, n_chars / 50.0::DOUBLE AS dt_s, CASE WHEN n_chars > 3000 THEN 'LongDoc' END AS error FROM documents)"
+_CHAINS = "fl AS (SELECT doc_id AS id, text AS caption, n_chars / 100.0::DOUBLE AS dt_s, CASE WHEN n_chars < 200 THEN 'ShortDoc' END AS error FROM documents), qw AS (SELECT doc_id AS id, upper(lang) || ' ' || text AS short, n_chars / 50.0::DOUBLE AS dt_s, CASE WHEN n_chars > 3000 THEN 'LongDoc' END AS error FROM documents)"
 
 
-def _chains_whole(spark, d):
+def _chains(spark, d):
     docs = fx.table(spark, d, "documents").withColumnRenamed("doc_id", "id")
     fl = docs.select("id", F.col("text").alias("caption"), (F.col("n_chars") / 100.0).alias("dt_s"), F.when(F.col("n_chars") < 200, "ShortDoc").alias("error"))
     qw = docs.select("id", F.concat(F.upper("lang"), F.lit(" "), F.col("text")).alias("short"), (F.col("n_chars") / 50.0).alias("dt_s"), F.when(F.col("n_chars") > 3000, "LongDoc").alias("error"))
@@ -522,36 +501,18 @@ def _(spark, d):
     return legacy.merge_chains(work, {"fl": fl, "qw": qw}).select("id", "fl.caption", "qw.short", (F.col("fl").isNotNull() & F.col("qw").isNotNull()).alias("both_ok"))
 
 
-@query("merge_chains_whole", f"WITH {_CHAINS_WHOLE} SELECT d.doc_id AS id, f.caption AS caption, q.short AS short, f.id IS NOT NULL AND q.id IS NOT NULL AS both_ok FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN qw q ON q.id = d.doc_id AND q.error IS NULL")
-def _(spark, d):
-    work, fl, qw = _chains_whole(spark, d)
-    return legacy.merge_chains(work, {"fl": fl, "qw": qw}).select("id", "fl.caption", "qw.short", (F.col("fl").isNotNull() & F.col("qw").isNotNull()).alias("both_ok"))
-
-
 @query("chain_coverage", f"WITH {_CHAINS} SELECT (SELECT count(*) FROM documents) AS n_work, count(*) AS n_ok, median(dt_s) AS median_s FROM fl WHERE error IS NULL")
 def _(spark, d):
     work, fl, _ = _chains(spark, d)
     return legacy.coverage(work, fl)
 
 
-@query("chain_coverage_whole", f"WITH {_CHAINS_WHOLE} SELECT (SELECT count(*) FROM documents) AS n_work, count(*) AS n_ok, median(dt_s) AS median_s FROM fl WHERE error IS NULL")
-def _(spark, d):
-    work, fl, _ = _chains_whole(spark, d)
-    return legacy.coverage(work, fl)
-
-
 @query("all_chains_sample", f"WITH {_CHAINS} SELECT f.id AS id FROM fl f JOIN qw q USING (id) WHERE f.error IS NULL AND q.error IS NULL ORDER BY id LIMIT 6")
 def _(spark, d):
     work, fl, qw = _chains(spark, d)
     return legacy.merge_chains(work, {"fl": fl, "qw": qw}).where("fl is not null and qw is not null").orderBy("id").limit(6).select("id")
 
 
-@query("all_chains_sample_whole", f"WITH {_CHAINS_WHOLE} SELECT f.id AS id FROM fl f JOIN qw q USING (id) WHERE f.error IS NULL AND q.error IS NULL ORDER BY id LIMIT 6")
-def _(spark, d):
-    work, fl, qw = _chains_whole(spark, d)
-    return legacy.merge_chains(work, {"fl": fl, "qw": qw}).where("fl is not null and qw is not null").orderBy("id").limit(6).select("id")
-
-
 _CF = "cf AS (SELECT n_chars % 200 AS wa, n_chars % 90 AS wb, doc_id % 24 AS pa, doc_id % 9 AS pb, doc_id % 40 AS ba, doc_id % 11 AS bb, n_chars > 3000 AS truncated FROM documents)"
 
 
@@ -576,13 +537,7 @@ def _(spark, d):
     return _rounded(legacy.jaccard(both, "c", "rec"))
 
 
-@query("needed_captions", f"WITH {sql.FIXTURE} SELECT 'doc/' || doc_id AS path, n_chars < 200 AS failed FROM documents WHERE doc_id IN (SELECT doc_id FROM fx WHERE doc_id % 10 = 3)")
-def _(spark, d):
-    ground = fx.grounding(spark, d).where("doc_id % 10 = 3")
-    return clean.needed_captions(fx.captions(spark, d), ground).select("path", F.col("error").isNotNull().alias("failed"))
-
-
-@query("needed_captions_whole", f"WITH {sql.FIXTURE} SELECT 'doc/' || doc_id AS path, n_chars < 200 AS failed FROM documents WHERE doc_id IN (SELECT doc_id FROM fx)")
+@query("needed_captions", f"WITH {sql.FIXTURE} SELECT 'doc/' || doc_id AS path, n_chars < 200 AS failed FROM documents WHERE doc_id IN (SELECT doc_id FROM fx)")
 def _(spark, d):
     return clean.needed_captions(fx.captions(spark, d), fx.grounding(spark, d)).select("path", F.col("error").isNotNull().alias("failed"))
 
@@ -617,17 +572,7 @@ def _(spark, d):
     return rows.select("id", "fl.caption", F.greatest(F.size(F.coalesce("verdicts", F.create_map().cast("map<string,string>"))), F.lit(0)).alias("n_verdicts"), F.try_element_at("verdicts", F.col("crossfeed.first")).alias("first_verdict"))
 
 
-@query("review_rows_whole", f"WITH {sql.FIXTURE}, {sql.cleaned('rec')}, {sql.VERDICTS}, {_CHAINS_WHOLE} SELECT d.doc_id AS id, f.caption AS caption, (SELECT count(*) FROM vf v WHERE v.doc_id = d.doc_id) AS n_verdicts, (SELECT max(v.verdict) FROM vf v WHERE v.doc_id = d.doc_id AND v.phrase = q.phrase) AS first_verdict FROM documents d LEFT JOIN fl f ON f.id = d.doc_id AND f.error IS NULL LEFT JOIN kept q ON q.doc_id = d.doc_id AND q.k = 0")
-def _(spark, d):
-    work, fl, _ = _chains_whole(spark, d)
-    v = fx.verdicts(spark, d)
-    said = v.select(F.col("doc_id").alias("id"), "phrase", "verdict")
-    first = v.where("k = 0").select(F.col("doc_id").alias("id"), F.col("phrase").alias("first"))
-    rows = legacy.review_rows(legacy.merge_chains(work, {"fl": fl}), first, said)
-    return rows.select("id", "fl.caption", F.greatest(F.size(F.coalesce("verdicts", F.create_map().cast("map<string,string>"))), F.lit(0)).alias("n_verdicts"), F.try_element_at("verdicts", F.col("crossfeed.first")).alias("first_verdict"))
-
-
-# --- streams and model stages: rows only
+# --- streams
 
 
 @query("stream_latest", f"{_LOG} SELECT seq, path, ok, payload FROM log QUALIFY row_number() OVER (PARTITION BY path ORDER BY ok DESC, seq DESC) = 1")
@@ -649,20 +594,3 @@ def _(spark, d):
     rows = spark.readStream.schema(spark.read.parquet(f"{out}/in").schema).parquet(f"{out}/in")
     incremental.clean_stream(rows, PROFILES["rec"], f"{out}/out", f"{out}/state").awaitTermination()
     return clean.flat(spark.read.parquet(f"{out}/out"), "doc_id")
-
-
-@query("caption_stub")
-def _(spark, d):
-    return infer.caption(fx.captions(spark, d))
-
-
-@query("ground_stub")
-def _(spark, d):
-    rows = infer.ground(infer.by_length(fx.captions(spark, d).where("error is null"), 8), infer.grounding_stub)
-    return rows.select("path", F.size("grounding").alias("n_phrase"), "error")
-
-
-@query("verify_stub")
-def _(spark, d):
-    tasks = sampling.verify_tasks(fx.cleaned(spark, d), "path", "img_w", "img_h")
-    return infer.verify(tasks).drop("box")

@@ -4,6 +4,7 @@ an earlier run has done, so that a run that was stopped goes on where it was."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,22 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, infer, reconcile, report, sampling
 from .profiles import PROFILES, Profile
+from .shared import exists
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def ready(test: Callable[[], bool], tries: int = 60, every: float = 60.0, sleep: Callable[[float], None] = time.sleep) -> bool:
+    """Whether ``test`` holds within ``tries`` attempts, ``every`` seconds apart."""
+    for k in range(tries):
+        if test():
+            return True
+        if k + 1 < tries:
+            sleep(every)
+    return False
+
+
+def has_rows(spark: SparkSession, *paths: str) -> bool:
+    """Whether all these tables are there and none is empty: what a stage waits for."""
+    return all(exists(spark, p) and not spark.read.parquet(p).isEmpty() for p in paths)
 
 
 def _append(rows: DataFrame, path: str, run: int) -> None:
@@ -25,7 +37,7 @@ def _append(rows: DataFrame, path: str, run: int) -> None:
 
 def _left(spark: SparkSession, work: DataFrame, log: str, *keys: str) -> tuple[DataFrame, int]:
     """What has no successful row in the log yet, and the number of this run."""
-    if not _exists(spark, log):
+    if not exists(spark, log):
         return work, 0
     done = spark.read.parquet(log)
     return reconcile.pending(work, done, *keys), done.agg(F.max("seq")).first()[0] + 1

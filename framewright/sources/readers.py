@@ -1,14 +1,16 @@
 """Readers of worklists, append logs and documents.
 
 Files are split by lines and read in parallel. Where the order of lines matters, each line
-gets a number within its file: ``numbered_lines`` reads a file whole for that, which suits
-log shards; everything inside the engine is Parquet with an explicit ``seq``.
+gets its number within its file: splits count their lines, and the sums of the splits before
+give where each begins, so that a file of any size is read by many tasks; everything inside
+the engine is Parquet with an explicit ``seq``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as txt
 from . import schemas
@@ -16,14 +18,26 @@ from . import schemas
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line (from 0), value: the lines that aren't blank."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).where("trim(value) <> ''")
+    split = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # rows of a split are numbered one after another, whatever came before it in its task
+    rows = spark.read.text(path).select(*split, F.monotonically_increasing_id().alias("at"), "value")
+    splits = rows.groupBy("file", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n")
+    splits = splits.select("file", "start", "first", before.alias("before"))
+    return rows.join(splits, ["file", "start"]).select("file", (F.col("at") - F.col("first") + F.col("before")).cast("int").alias("line"), "value").where("trim(value) <> ''")
 
 
-def worklist(spark: SparkSession, path: str, limit_per_file: int = 0) -> DataFrame:
+def of_shard(rows: DataFrame, number: str, shard: int, shards: int) -> DataFrame:
+    """One of several equal parts, by an id or a line number."""
+    return rows.where(F.pmod(F.col(number), F.lit(shards)) == shard)
+
+
+def worklist(spark: SparkSession, path: str, limit_per_file: int = 0, shard: int = 0, shards: int = 1) -> DataFrame:
     """path, gt_caption, id (the line), shard (the file's number): lines are cut at the first
-    tab; without one the caption is empty."""
+    tab; without one the caption is empty. ``shard`` of ``shards``: only its lines, by their numbers."""
     lines = numbered_lines(spark, path)
+    if shards > 1:
+        lines = of_shard(lines, "line", shard, shards)
     if limit_per_file:
         lines = lines.where(F.col("line") < limit_per_file)
     parts = F.split("value", "\t", 2)
@@ -53,16 +67,9 @@ def log_lines(spark: SparkSession, path: str, schema: str, needs: str = "path")
 
 
 def prefiltered(spark: SparkSession, path: str, schema: str, wanted: DataFrame, column: str = "path") -> DataFrame:
-    """Records whose ``column`` is in ``wanted``. Lines without any wanted file stem are
-    dropped before they are parsed, if the stems are few; then a semi join decides."""
-    lines = spark.read.text(path)
-    stems = [r["s"] for r in wanted.select(txt.file_stem(F.col(column)).alias("s")).distinct().limit(33).collect()]
-    if len(stems) <= 32:
-        test = F.lit(False)
-        for s in stems:
-            test = test | F.contains("value", F.lit(s))
-        lines = lines.where(test)
-    return lines.select(F.from_json("value", schema).alias("r")).select("r.*").join(wanted.select(column).distinct(), column, "left_semi")
+    """Records whose ``column`` is in ``wanted``, by a semi join on its parsed value. (A test of
+    the raw line would miss values that JSON writes with escapes.)"""
+    return spark.read.text(path).select(F.from_json("value", schema).alias("r")).select("r.*").join(wanted.select(column).distinct(), column, "left_semi")
 
 
 def ordered_entries(grounding: Column) -> Column:
