@@ -2,7 +2,8 @@
 
 A document's tokens are those of the tokenizer and one end token. Longer ones are cut
 into full pieces, with what is over in the first; all others stay whole. Pieces are
-dealt by a hash to groups of about ``GROUP`` pieces. In each group, best-fit (longest
+dealt by a hash to groups of about ``GROUP`` pieces (their number is told from those of the
+documents and bytes). In each group, best-fit (longest
 first) makes a start; then local search takes the bins, emptiest first, and tries to empty
 them into other underfull bins: it moves one or two documents, or exchanges them for one,
 always towards the fuller bin, so that the sum of squared fills grows with each step. It
@@ -29,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_bytes
+
 SEQUENCE = 2048
 END = 0
 GROUP = 20_000
 CACHE = 250_000
+#: Bytes of a token, about, to tell how many pieces there will be.
+BYTES = 4
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Texts of these characters only are cut by Python's own regular expressions, whose
@@ -269,7 +274,8 @@ def assign(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.nd
 def pack(docs: DataFrame, path: str, size: int = SEQUENCE, end: int = END, group: int = GROUP) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     cut = pieces(docs, path, size, end)
-    n = max(1, round(docs.count() / group))
+    rows, n_bytes = text_bytes(docs)
+    n = max(1, round((rows + n_bytes / (BYTES * size)) / group))
     dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(n)).cast("int"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

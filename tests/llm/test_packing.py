@@ -106,3 +106,48 @@ def test_pairs_of_all_documents_of_a_bin_are_tried():
     rooms = packing.Rooms(95)
     rooms.add(1, bins._lengths(1), 10)
     assert bins._give(0, rooms) == 1 and bins.free == [35, 0]
+
+
+def fewest(lengths, size):
+    """The least number of bins, by trying all."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def place(k, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if k == len(lengths):
+            best = len(free)
+            return
+        for room in {f for f in free if f >= lengths[k]}:
+            own = list(free)
+            own.remove(room)
+            place(k + 1, [*own, room - lengths[k]])
+        place(k + 1, [*free, size - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_small_cases_against_all_packings():
+    """At most one sequence more than the best of all packings, and no more in nearly all cases."""
+    rng = np.random.default_rng(12)
+    more = 0
+    for k in range(120):
+        lengths = rng.integers(*((1, 100), (20, 60), (30, 55))[k % 3], 9)
+        number, _ = packing.assign(lengths, 100)
+        over = int(number.max()) + 1 - fewest(lengths.tolist(), 100)
+        assert over <= 1
+        more += over
+    assert more <= 6
+
+
+def test_long_documents_make_more_groups(spark):
+    """Pieces, not documents, fill a group."""
+    rng = random.Random(2)
+    rows = [(k, sentence(rng, 9000)) for k in range(6)]
+    got = packing.pack(frame(spark, rows), PATH, size=64, group=200).collect()
+    check_groups = {}
+    for r in got:
+        check_groups[r["sequence_id"] >> 32] = check_groups.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(check_groups) >= 5 and max(check_groups.values()) < 400
