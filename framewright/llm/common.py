@@ -1,33 +1,25 @@
-"""What the operators of this subpackage share: the shared folder, written
-tables that cut lineage, chunks of documents, and small helpers.
-
-Rows meet in Python only in *chunks* of bounded size. ``chunked`` gives each row
-a chunk number from a hash of its whole content, so that neither a hot source
-nor a hot id can fill one chunk, and a retried task sees the same chunk again.
-"""
+"""What the operators of this subpackage share: the shared folder, written tables that cut
+lineage, and small helpers."""
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text in one chunk, about.
-CHUNK_BYTES = 8 << 20
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines see: spark.checkpoint.dir; where it is unset
-    (tests on one machine), a temporary folder that is then set for the session."""
+    """The folder that all machines see: spark.checkpoint.dir; where it is unset and all runs
+    on one machine (tests), a temporary folder that is then set for the session."""
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines see")
         path = tempfile.mkdtemp(prefix="framewright-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -49,27 +41,6 @@ def text_bytes(df: DataFrame, text: str = "text") -> tuple[int, int]:
     return row["n"], row["b"] or 0
 
 
-def chunked(df: DataFrame, key: str, text: str, n_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, key, text): rows dealt to ceil(n_bytes / chunk_bytes) chunks by a hash of key and text."""
-    n = max(1, -(-n_bytes // chunk_bytes))
-    return df.select(
-        F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(n)).cast("int").alias("chunk"),
-        F.col(key).alias("key"),
-        F.col(text).alias("text"),
-    )
-
-
-def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to one batch."""
-
-    def over(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
-
-    return df.mapInArrow(over, schema)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: a bijection that spreads every input bit."""
     x = x ^ (x >> np.uint64(30))
@@ -93,5 +64,3 @@ def crc_remainder(column: str, n: int):
     """crc32 of the id's decimal text, modulo n; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
-
-WORDS = re.compile(rb"[^\x20\x09-\x0d]+")

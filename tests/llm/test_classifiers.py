@@ -135,3 +135,37 @@ def test_the_cut_is_the_quantile_of_label_0():
     y = (x[:, 0] > -0.8).astype(float)
     model = quality.fit(x, y)
     assert abs((model.scores(x) < 0.5).mean() - (y == 0).mean()) < 0.002
+
+
+def test_quality_features_by_plain_counts():
+    for text in ("Some WORDS, some 12 words!\nSome WORDS, some 12 words!\n|#% end.", "a", "  ", "Ünï çödé | pipes || here"):
+        words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+        got = dict(zip(quality.FEATURES, quality.features(text)))
+        if not words:
+            assert set(got.values()) == {0.0}
+            continue
+        size = len(text.encode())
+        assert math.isclose(got["log_words"], math.log(1 + len(words))) and math.isclose(got["mean_word"], sum(len(w.encode()) for w in words) / len(words))
+        assert math.isclose(got["digit"], sum(c in "0123456789" for c in text) / size) and math.isclose(got["bang"], text.count("!") / len(words)) and math.isclose(got["pipe"], text.count("|") / len(words))
+        assert math.isclose(got["top_word"], max(words.count(w) for w in words) / len(words)) and math.isclose(got["repeated_lines"], 1 - len(set(lines)) / len(lines))
+        letters = [c for c in text if c.isascii() and c.isalpha()]
+        assert math.isclose(got["upper"], sum(c.isupper() for c in letters) / max(1, len(letters))) and math.isclose(got["high_bytes"], sum(b > 127 for b in text.encode()) / size)
+
+
+def test_quality_scores_and_weights(spark):
+    """Scores against the formula; the weights are where the pairwise loss has its least value."""
+    docs, labels = quality_rows(120)
+    df = frame(spark, docs)
+    model = quality.train(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    for r in quality.score(df, model).collect():
+        z = sum(w * min(8.0, max(-8.0, (f - m) / s)) for w, f, m, s in zip(model.weights, quality.features(dict(docs)[r["doc_id"]]), model.mean, model.scale))
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-(z - model.cut))), rel_tol=1e-9)
+    x, y = np.array([quality.features(t) for _, t in docs]), np.array([q for _, q in labels], float)
+    z = np.clip((x - x.mean(0)) / (x.std(0) + 1e-6), -8, 8)
+
+    def loss(w):  # over all pairs of a better and a worse document
+        d = (z[y == 1] @ w)[:, None] - (z[y == 0] @ w)[None, :]
+        return np.logaddexp(0, -d).mean() + 5e-4 * w @ w
+
+    rng = np.random.default_rng(1)
+    assert all(loss(model.weights) < loss(model.weights + step) for step in rng.normal(size=(40, len(model.weights))))
