@@ -25,8 +25,9 @@ which is bounded by the chunk. Up to ``PACKED`` shards, a chunk's keys are sent
 in one row for each shard; beyond, in plain rows that Spark itself sorts, so that
 the exchange is always in proportion to the text.
 
-Words, pairs and triples are named by 64-bit hashes. Among 10^9 distinct ones some two collide
-with a chance of 3 %, among 10^11 about 270 do; those have the sum of their counts.
+Words, pairs and triples are named by 60-bit hashes. Among 10^9 distinct ones some two collide
+with a chance of 35 %, among 10^11 about 4,300 pairs do; those have the sum of their counts,
+which no probability elsewhere depends on but by N and V.
 
 Defined results: a null text is empty and has its end token only. Rows with null ids are
 held out. Repeated rows count and are scored each time. Without training rows all
@@ -65,6 +66,8 @@ START = np.uint64(xxh3_64_intdigest(b" start"))
 END = xxh3_64_intdigest(b" end")
 WORD, PAIR, TRIPLE = range(3)
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Bits of a hash that a key does without.
+_SPARE = np.uint64(4)
 _GAP = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -184,11 +187,11 @@ class Chunk:
         first = np.zeros(len(h), bool)
         first[self.begins] = True
         triple = mixed(np.concatenate((pair[:1], pair[:-1])) * _ODD[1] + h)
-        pairs, of_pair = np.unique(pair, return_inverse=True)
-        triples, of_triple = np.unique(triple[~first], return_inverse=True)
+        pairs, of_pair = np.unique(pair >> _SPARE, return_inverse=True)
+        triples, of_triple = np.unique(triple[~first] >> _SPARE, return_inverse=True)
         with_none = np.full(len(h), -1, np.int32)
         with_none[~first] = of_triple
-        self.keys, self.of = (hashes[by_hash], pairs, triples), (place[tokens], of_pair.astype(np.int32), with_none)
+        self.keys, self.of = (hashes[by_hash] >> _SPARE, pairs, triples), (place[tokens], of_pair.astype(np.int32), with_none)
 
     def counts(self, kind: int) -> np.ndarray:
         own = self.of[kind][self.train_token]
@@ -196,7 +199,7 @@ class Chunk:
 
     def cuts(self, kind: int, shards: int) -> list[int]:
         """Where each shard's part of the keys begins, and their number: shards are ranges of keys."""
-        edges = np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
+        edges = np.array([(k << 60) // shards for k in range(1, shards)], np.uint64)
         return [0, *np.searchsorted(self.keys[kind], edges).tolist(), len(self.keys[kind])]
 
 
