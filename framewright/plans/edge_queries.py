@@ -1,5 +1,6 @@
 """Queries at the edges of the engine: sources and sinks, whose files are written from the test
-tables and read back, model stages on stubs, and pages for review."""
+tables and read back, model stages on stubs, and pages for review. They join the others in
+``QUERIES`` and ``ORACLE``."""
 
 from __future__ import annotations
 
@@ -16,9 +17,11 @@ from ..sources import readers, schemas, writers
 from . import fixtures as fx
 from . import oracle as sql
 from .profiles import PROFILES
-from .queries import query
+from .queries import ORACLE, QUERIES, query
 from .shared import folder
 
+__all__ = ["ORACLE", "QUERIES"]
+
 # --- lines
 
 _PLACE = "row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) - 1"
