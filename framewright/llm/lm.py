@@ -26,8 +26,7 @@ in one row for each shard; beyond, in plain rows that Spark itself sorts, so tha
 the exchange is always in proportion to the text.
 
 Words, pairs and triples are named by 60-bit hashes. Among 10^9 distinct ones some two collide
-with a chance of 35 %, among 10^11 about 4,300 pairs do; those have the sum of their counts,
-which no probability elsewhere depends on but by N and V.
+with a chance of 35 %, among 10^11 about 4,300 pairs do; those have the sum of their counts.
 
 Defined results: a null text is empty and has its end token only. Rows with null ids are
 held out. Repeated rows count and are scored each time. Without training rows all
@@ -87,7 +86,7 @@ def unpacked_ints(b: bytes) -> np.ndarray:
 
 
 def packed_keys(x: np.ndarray) -> bytes:
-    """Sorted keys, by their differences."""
+    """Keys that are mostly sorted, by their differences."""
     return packed_ints(np.diff(x, prepend=np.uint64(0)))
 
 
@@ -128,8 +127,8 @@ class Pack:
     def row(self, number: int) -> pa.RecordBatch:
         hashes = np.fromiter((END if w == b" end" else xxh3_64_intdigest(w) for w in self.numbers), np.uint64, len(self.numbers))
         tokens = np.concatenate(self.tokens)
-        # frequent words first: most numbers are small then
-        order = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
+        # frequent words first: most numbers are small then; equally frequent ones by their hashes
+        order = np.lexsort((hashes, -np.bincount(tokens, minlength=len(hashes))))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         train = np.array([not held_out(k) for k in self.ids])
@@ -139,7 +138,7 @@ class Pack:
             "sizes": pa.array([packed_ints(np.array(self.sizes))], pa.binary()),
             "train": pa.array([train.tobytes()], pa.binary()),
             "n_train": pa.array([int(train.sum())], pa.int64()),
-            "hashes": pa.array([hashes[order].tobytes()], pa.binary()),
+            "hashes": pa.array([packed_keys(hashes[order])], pa.binary()),
             "tokens": pa.array([packed_ints(rank[tokens])], pa.binary()),
         }
         return pa.RecordBatch.from_pydict(columns)
@@ -173,7 +172,7 @@ class Chunk:
         self.number, self.ids = row["chunk"], row["ids"]
         self.sizes = unpacked_ints(row["sizes"]).astype(np.int64)
         self.train = np.frombuffer(row["train"], bool)
-        tokens, hashes = unpacked_ints(row["tokens"]).astype(np.int64), np.frombuffer(row["hashes"], np.uint64)
+        tokens, hashes = unpacked_ints(row["tokens"]).astype(np.int64), unpacked_keys(row["hashes"])
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.train_token = np.repeat(self.train, self.sizes)
         by_hash = np.argsort(hashes)

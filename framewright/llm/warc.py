@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import shared_dir
+from .common import shared_dir, written
 
 MIN_BYTES = 1000
 CRLF = "\r\n"
@@ -42,7 +42,10 @@ def records(pages: DataFrame) -> DataFrame:
     """page_id, address, header: one WARC header for each row of ``pages`` (page_id, url, html)."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", F.sha2(payload, 256).alias("address"), F.sha1(payload).alias("sha1"), F.octet_length(payload).cast("long").alias("size"))
+    # written, so that the join has a shuffle of its own on either side and a payload that many
+    # pages share is dealt to several tasks
     shared = rows.where(F.col("size") >= MIN_BYTES).groupBy("address").agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(shared, "shared-payloads")
     rows = rows.join(shared, "address", "left").withColumn("may_be_first", F.col("n").isNull() | F.col("page_id").eqNullSafe(F.col("first_id")))
     # of rows that share payload and largest id, one is the response
     several = rows.where("may_be_first and n is not null").withColumn("place", F.row_number().over(Window.partitionBy("address").orderBy("url")))

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from framewright.llm import quality, queries, toxicity
 
@@ -86,6 +87,26 @@ def test_rows_without_ids_are_held_out(spark, tmp_path):
         assert {r["held_out"] for r in rows} == {True, False}
 
 
+def clashing(df):
+    """With columns of the names that the operators use."""
+    return df.withColumns({c: F.lit(f"own {c}") for c in ("label", "features", "ends", "score", "predicted", "worst", "n_located", "toxic", "quality", "x", "feature", "pos")})
+
+
+def test_columns_of_any_name(spark):
+    docs, labels = toxic_rows(60)
+    df, marked = clashing(frame(spark, docs)), spark.createDataFrame([(k, y, 1 - y) for k, y in labels], "doc_id long, toxic int, quality int")
+    marked = marked.withColumns({c: F.lit("x") for c in ("label", "text", "features", "x")})
+    model = toxicity.train(df, marked)
+    plain_model = toxicity.train(frame(spark, docs), marked.select("doc_id", "toxic"))
+    assert model == plain_model
+    kept = toxicity.screen(df, model)
+    assert kept.columns == df.columns and {r["worst"] for r in kept.collect()} == {"own worst"}
+    assert toxicity.score(df, model).count() == 60
+    other = quality.train(df, marked)
+    assert np.array_equal(other.weights, quality.train(frame(spark, docs), marked.select("doc_id", "quality")).weights)
+    assert quality.score(df, other).count() == 60
+
+
 def test_toxicity_edges(spark):
     docs, labels = toxic_rows(80)
     df = frame(spark, edge_rows())
