@@ -10,8 +10,8 @@ decoded vectors (the sums of what the query's tables say for the codes) are comp
 least product that a linked query may have with each; what passes is computed exactly, in
 double precision. Links below the least cosine are never returned.
 
-What a link may shift is ``SIGMAS`` standard deviations of the product with a direction as
-they lie in the data (any two vectors, nearest vectors of the sample, or evenly), whichever is
+What a link may shift is ``SIGMAS`` (for members ``CODE_SIGMAS``) standard deviations of the
+product with a direction as they lie in the data (any two vectors, nearest vectors of the sample, or evenly), whichever is
 most, and never more than a link can shift at all.
 
 Vectors with equal directions count as one all the way, with their number. Near lists are
@@ -53,13 +53,13 @@ MAX_LISTS = 4096
 #: Sub-lists of a list, at most, and members of one, about; numbers of lists of one length of vectors.
 SUBLISTS, LIST = 256, 1024
 SPAN = MAX_LISTS * SUBLISTS
-#: Standard deviations that a link may shift a product by.
-SIGMAS = 4.0
+#: Standard deviations that a link may shift a product by: in the choice of lists, of members.
+SIGMAS, CODE_SIGMAS = 2.5, 4.0
 #: Components of one subspace.
 DIMS = 8
 CODEWORDS = 256
 #: Vectors of a block, if they have 128 components at most; fewer if they are longer.
-MEMBERS, QUERIES = 8192, 32768
+MEMBERS, QUERIES = 2048, 32768
 
 
 def units(df: DataFrame) -> DataFrame:
@@ -147,16 +147,16 @@ class Index:
             out.append(left.pop(k))
         return centres[out]
 
-    def _allowed(self, d: np.ndarray) -> np.ndarray:
-        """How far a linked query's product with each of ``d`` may be from its vector's: SIGMAS
+    def _allowed(self, d: np.ndarray, sigmas: float) -> np.ndarray:
+        """How far a linked query's product with each of ``d`` may be from its vector's: so many
         standard deviations, in the worst of ``shapes``, and no more than the length allows."""
         length = np.sqrt((d * d).sum(1))
         most = np.sqrt(np.maximum(0, np.max([((d @ m) * d).sum(1) for m in self.shapes], axis=0)))
-        return np.minimum(length, SIGMAS * most)
+        return np.minimum(length, sigmas * most)
 
     def _apart(self, centres: np.ndarray) -> np.ndarray:
         """For each pair of centres, the shift of a linked query between them that is allowed."""
-        return np.stack([self._allowed(centres - c) for c in centres]) * self.spread + 1e-5
+        return np.stack([self._allowed(centres - c, SIGMAS) for c in centres]) * self.spread + 1e-5
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """List and residual of each vector."""
@@ -176,7 +176,7 @@ class Index:
         error = x - self.decode(of, codes)
         # a query of the least cosine is that share of x and, for the rest, a direction across x
         along = (x * error).sum(1)
-        across = self._allowed(error - along[:, None] * x) * math.sqrt(1 - self.least**2)
+        across = self._allowed(error - along[:, None] * x, CODE_SIGMAS) * math.sqrt(1 - self.least**2)
         return of, codes, (self.least * (1 - along) - across - 1e-3).astype(np.float32)
 
     def decode(self, of, codes: np.ndarray) -> np.ndarray:
