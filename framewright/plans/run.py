@@ -43,9 +43,11 @@ def _left(spark: SparkSession, work: DataFrame, log: str, *keys: str) -> tuple[D
     return reconcile.pending(work, done, *keys), done.agg(F.max("seq")).first()[0] + 1
 
 
-def run_all(spark: SparkSession, worklist: DataFrame, sizes: DataFrame, out: str, backend: Callable = infer.StubBackend, detect: Callable = infer.grounding_stub, profile: Profile | str = "rec", sample: int = 0, retries: int = 1, workers: int = 16) -> dict[str, DataFrame]:
+def run_all(spark: SparkSession, worklist: DataFrame, sizes: DataFrame, out: str, backend: Callable = infer.StubBackend, detect: Callable = infer.grounding_stub, profile: Profile | str = "rec", sample: int = 0, retries: int = 1, workers: int = 16, free: Callable[[], bool] = lambda: True, tries: int = 60, every: float = 60.0) -> dict[str, DataFrame]:
     """``worklist`` (id, shard, path, gt_caption) and ``sizes`` (path, img_w, img_h) -> the
-    sections of the report; all tables lie under ``out``. ``sample``: images to verify, 0 for all."""
+    sections of the report; all tables lie under ``out``. ``sample``: images to verify, 0 for all.
+    Verification waits until there are cleaned rows and ``free`` says that its devices are, for
+    ``tries`` times ``every`` seconds at most."""
     captions, grounds, checks = f"{out}/caption", f"{out}/ground", f"{out}/verify"
     for _ in range(1 + retries):
         work, run = _left(spark, worklist, captions, "path")
@@ -57,6 +59,8 @@ def run_all(spark: SparkSession, worklist: DataFrame, sizes: DataFrame, out: str
     rule = PROFILES[profile] if isinstance(profile, str) else profile
     clean.clean(clean.with_captions(ground, caps), rule).write.mode("overwrite").parquet(f"{out}/clean")
     cleaned = spark.read.parquet(f"{out}/clean")
+    if not ready(lambda: has_rows(spark, f"{out}/clean") and free(), tries, every):
+        raise TimeoutError("nothing to verify, or nothing free to verify it with")
     chosen = sampling.sample(cleaned, sample, 0, "path") if sample else cleaned
     work, run = _left(spark, sampling.verify_tasks(chosen, "path", "img_w", "img_h"), checks, "path", "phrase")
     _append(infer.verify(work, backend, workers), checks, run)

@@ -1,3 +1,5 @@
+import pytest
+
 from framewright.operators import infer, report
 from framewright.plans.run import run_all
 
@@ -23,7 +25,9 @@ def test_all_stages_and_resume(spark, tmp_path):
     assert got["captions"].first()["n"] == 13 and got["captions"].first()["missing"] == 1
     n = sum(r["n"] for r in got["verdicts"].collect())
     assert n > 0 and "| verdict | n |" in report.markdown(got["verdicts"])
+    with pytest.raises(TimeoutError):
+        run_all(spark, work, sizes, out, backend=Flaky, workers=2, free=lambda: False, tries=2, every=0)
     again = run_all(spark, work, sizes, out, backend=Flaky, workers=2)  # nothing is asked twice
     assert sum(r["n"] for r in again["verdicts"].collect()) == n
     log = spark.read.parquet(f"{out}/caption")
-    assert log.where("path = 'img3'").count() == 1 and log.where("path = 'never'").count() == 4
+    assert log.where("path = 'img3'").count() == 1 and log.where("path = 'never'").count() == 6
