@@ -12,7 +12,9 @@ from .reconcile import index
 def sidecar(cleaned: DataFrame, verified: DataFrame, seq: str | None = "seq") -> DataFrame:
     """path, n_pair, n_audited, verdict (phrase, slots) for each cleaned row, by one join on
     path. ``verified`` (path, phrase, verdict) may repeat keys: the last by ``seq`` counts."""
-    last = index(verified, "path", "phrase", value="verdict", seq=seq) if seq else verified.select("path", "phrase", "verdict")
+    # one shuffle, by path, serves the index by (path, phrase), the collection and the join
+    dealt = verified.repartition("path")
+    last = index(dealt, "path", "phrase", value="verdict", seq=seq) if seq else dealt.select("path", "phrase", "verdict")
     by_path = last.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("phrase", "verdict"))).alias("said"))
     joined = cleaned.select("path", "kept").join(by_path, "path", "left")
     said = lambda c: F.try_element_at("said", c["phrase"])

@@ -99,8 +99,13 @@ def cleaned(spark: SparkSession, sf_dir: str, profile: Profile | str = "rec") ->
 
 
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, path, k, phrase, x0..y1, n_box, crop_frac, verdict: the first 12 phrases'
-    first boxes of the cleaned grounding, with a verdict by arithmetic."""
+    """doc_id, path, k, phrase, box, n_box, crop_frac, verdict: the first 12 phrases'
+    first boxes of the cleaned grounding, with a verdict by arithmetic. Stored, as the output of
+    the verification stage would be."""
+    return _once(spark, sf_dir, "verdicts", lambda: _verdicts(spark, sf_dir))
+
+
+def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c")
     rows = cleaned(spark, sf_dir).select("doc_id", "path", "img_w", "img_h", F.posexplode("kept").alias("k", "c")).where("k < 12")
     v = (F.col("doc_id") * 7 + F.col("k") * 3) % 20
