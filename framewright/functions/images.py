@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from . import geometry as geo
 from .text import html_escaped
 
-# fixed values: colours of the phrases of one picture, in turn
+# fixed values: how an overlay looks: colours of the phrases of one picture, in turn; the dashes
+# of rejected ones; the number of a phrase, so far from the corner of its first box and from the top
+DASHES = "5,4"
+NUMBER_AT = (3, 3, 11.0)
 COLOURS = ["#e6194b", "#3cb44b", "#4363d8", "#f58231", "#911eb4", "#008080", "#9a6324", "#808000"]
 
 
@@ -21,7 +24,7 @@ def _one(x: Column) -> Column:
 def svg_rect(box: Column, colour: Column, dashed: Column) -> Column:
     """A box as an SVG rectangle of at least one unit."""
     w, h = F.greatest(F.lit(1.0), box[2] - box[0]), F.greatest(F.lit(1.0), box[3] - box[1])
-    dash = F.when(dashed, ' stroke-dasharray="5,4"').otherwise("")
+    dash = F.when(dashed, f' stroke-dasharray="{DASHES}"').otherwise("")
     return F.concat(F.lit('<rect x="'), _one(box[0]), F.lit('" y="'), _one(box[1]), F.lit('" width="'), _one(w), F.lit('" height="'), _one(h), F.lit('" fill="none" stroke="'), colour, F.lit('" stroke-width="2"'), dash, F.lit("/>"))
 
 
@@ -36,7 +39,7 @@ def svg_overlay(phrases: Column, w: Column, h: Column, to_w: Column, to_h: Colum
         dashed = F.coalesce(F.array_contains(rejected, c["phrase"]), F.lit(False))
         rects = F.array_join(F.transform(c["boxes"], lambda b: svg_rect(place(b), colour, dashed)), "")
         at = place(c["boxes"][0])
-        label = F.concat(F.lit('<text x="'), _one(at[0] + 3), F.lit('" y="'), _one(F.greatest(F.lit(11.0), at[1] - 3)), F.lit('" fill="'), colour, F.lit('">'), (k + 1).cast("string"), F.lit("</text>"))
+        label = F.concat(F.lit('<text x="'), _one(at[0] + NUMBER_AT[0]), F.lit('" y="'), _one(F.greatest(F.lit(NUMBER_AT[2]), at[1] - NUMBER_AT[1])), F.lit('" fill="'), colour, F.lit('">'), (k + 1).cast("string"), F.lit("</text>"))
         return F.concat(rects, F.when(F.size(c["boxes"]) > 0, label).otherwise(""))
 
     head = F.format_string('<svg viewBox="0 0 %d %d" preserveAspectRatio="none">', to_w.cast("int"), to_h.cast("int"))
