@@ -48,11 +48,13 @@ def is_abstract(norm: Column, cw: Column) -> Column:
     return (F.size(cw) > 0) & (F.try_element_at(cw, F.lit(-1)).isin(*ABSTRACT_HEADS) | norm.isin(*SHOT_PHRASES))
 
 
+def padded(s: Column) -> Column:
+    """With a space at both ends: whole words of one normalised text are a part of another so padded."""
+    return F.concat(F.lit(" "), s, F.lit(" "))
+
+
 def in_caption(norm: Column, caption: Column, whole_words: bool) -> Column:
-    if not whole_words:
-        return caption.contains(norm)
-    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    return pad(caption).contains(pad(norm))
+    return padded(caption).contains(padded(norm)) if whole_words else caption.contains(norm)
 
 
 def after_thinking(s: Column) -> Column:

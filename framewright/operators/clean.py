@@ -21,6 +21,11 @@ PHRASE_RULES = ["vague", "abstract", "garbled", "words", "nbox", "empty", "xdup"
 NO_BOXES = "array<array<double>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def without_repeats(boxes: Column) -> Column:
     """Greedy in order: a box stays if its IoU with every box kept so far is at most 0.9."""
     return F.aggregate(boxes, F.array().cast(NO_BOXES), lambda kept, b: F.when(F.forall(kept, lambda k: geo.iou(b, k) <= geo.SAME), F.concat(kept, F.array(b))).otherwise(kept))
@@ -51,44 +56,68 @@ def box_steps(p: Profile, w: Column, h: Column) -> list[tuple[str, object]]:
     return [("dup", without_repeats), *steps] if p.dup else steps
 
 
-def phrase_rule(c: Column, caption: Column, p: Profile) -> Column:
-    """The first rule on phrases that the entry breaks, or null."""
+def facts(grounding: Column, caption: Column) -> Column:
+    """What the rules of any profile ask of each phrase: k, phrase, norm, cw, raw, own (the boxes
+    without repeats), and whether it is vague, abstract, and not in the caption: as a string
+    (absent), as whole words (apart)."""
+
+    def found(text):
+        def compared(c):
+            some = (caption != "") & (c["norm"] != "")
+            return F.struct(c["k"], c["phrase"], c["norm"], c["cw"], c["raw"], (some & ~text.contains(txt.padded(c["norm"]))).alias("apart"))
+
+        return F.transform(out, compared)
+
+    def judged(c):
+        absent = F.when(c["apart"], ~caption.contains(c["norm"])).otherwise(c["apart"])  # whole words are a string, too
+        return F.struct(*(c[x] for x in ("k", "phrase", "norm", "cw", "raw")), without_repeats(c["raw"]).alias("own"), txt.is_vague(c["phrase"]).alias("vague"), txt.is_abstract(c["norm"], c["cw"]).alias("abstract"), absent.alias("absent"), c["apart"])
+
+    out = F.transform(grounding, lambda g, k: F.struct(k.alias("k"), txt.strip(g["phrase"]).alias("phrase"), g["boxes"].alias("raw")))
+    out = F.transform(out, lambda c: F.struct(c["k"], c["phrase"], txt.norm_phrase(c["phrase"]).alias("norm"), c["raw"]))
+    out = F.transform(out, lambda c: F.struct(c["k"], c["phrase"], c["norm"], txt.content_words(c["norm"]).alias("cw"), c["raw"]))
+    return F.transform(let(txt.padded(caption), found), judged)
+
+
+def with_facts(ground: DataFrame) -> DataFrame:
+    """``ground`` with ``facts``, for several profiles over one input."""
+    return ground.withColumn("facts", facts(F.col("grounding"), F.coalesce("caption", F.lit(""))))
+
+
+def phrase_rule(c: Column, p: Profile) -> Column:
+    """The first rule on phrases that the entry of ``facts`` breaks, or null."""
     rules = []
     if p.vague:
-        rules.append(("vague", txt.is_vague(c["phrase"])))
+        rules.append(("vague", c["vague"]))
     if p.abstract:
-        rules.append(("abstract", txt.is_abstract(c["norm"], c["cw"])))
+        rules.append(("abstract", c["abstract"]))
     if p.garbled:
-        rules.append(("garbled", (caption != "") & (c["norm"] != "") & ~txt.in_caption(c["norm"], caption, p.whole_words)))
+        rules.append(("garbled", c["apart"] if p.whole_words else c["absent"]))
     rules.append(("words", F.size(c["cw"]) < p.min_words))
     if p.max_boxes:
         rules.append(("nbox", F.size(c["raw"]) > p.max_boxes))
     return reduce(lambda case, rule: case.when(rule[1], rule[0]), rules[1:], F.when(rules[0][1], rules[0][0]))
 
 
-def cells(grounding: Column, caption: Column, w: Column, h: Column, p: Profile) -> Column:
+def cells(facts: Column, w: Column, h: Column, p: Profile) -> Column:
     """One entry for each phrase: k, phrase, norm, cw, raw, rule, by, boxes and n_<rule> for
     each rule on boxes. ``by``: for rule "empty", the rule that took the last box."""
-    out = F.transform(grounding, lambda g, k: F.struct(k.alias("k"), txt.strip(g["phrase"]).alias("phrase"), g["boxes"].alias("raw")))
-    out = F.transform(out, lambda c: F.struct(c["k"], c["phrase"], txt.norm_phrase(c["phrase"]).alias("norm"), c["raw"]))
-    out = F.transform(out, lambda c: F.struct(c["k"], c["phrase"], c["norm"], txt.content_words(c["norm"]).alias("cw"), c["raw"]))
     none = F.lit(None).cast(NO_BOXES)
     steps = dict(box_steps(p, w, h))
     names = list(steps)
 
-    def started(c):
-        rule = phrase_rule(c, caption, p)
-        return F.struct(c["k"], c["phrase"], c["norm"], c["cw"], c["raw"], rule.alias("rule"), F.when(rule.isNull(), c["raw"]).otherwise(none).alias("after"))
+    def ruled(c):
+        return F.struct(*(c[x] for x in ("k", "phrase", "norm", "cw", "raw", "own")), phrase_rule(c, p).alias("rule"))
 
-    out = F.transform(out, started)
-    fixed = ("k", "phrase", "norm", "cw", "raw", "rule")
+    out = F.transform(F.transform(facts, ruled), lambda c: c.withField("after", F.when(c["rule"].isNull(), c["raw"]).otherwise(none)))
+    fixed = ("k", "phrase", "norm", "cw", "raw", "own", "rule")
 
     def take(name, done):
         """The step of one rule: what it leaves, how many it took, whether it took the last."""
 
         def stepped(c):
             by = c["by"] if done else F.lit(None).cast("string").alias("by")
-            return F.struct(*(c[x] for x in fixed), *(c[f"n_{d}"] for d in done), c["after"].alias("before"), steps[name](c["after"]).alias("after"), by)
+            after = F.when(c["rule"].isNull(), c["own"]) if name == "dup" else steps[name](c["after"])
+            return F.struct(*(c[x] for x in fixed), *(c[f"n_{d}"] for d in done), c["after"].alias("before"), after.alias("after"), by)
 
         def counted(c):
             lost = F.coalesce(F.size(c["before"]) - F.size(c["after"]), F.lit(0))
@@ -110,11 +139,6 @@ def cells(grounding: Column, caption: Column, w: Column, h: Column, p: Profile)
     return F.transform(out, finished)
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def survivors(of: Column) -> Column:
     """Entries that no rule takes, as k, phrase, cw, boxes. If stripping has made two
     phrases one, it has the place of the first and the boxes of the last."""
@@ -160,20 +184,23 @@ def without_synonyms(of: Column) -> Column:
 def clean(ground: DataFrame, p: Profile, limit: int = 0) -> DataFrame:
     """``ground`` (path, grounding, img_w, img_h, caption: normalised, "" if none) -> the
     same with ``cells`` and ``kept`` (k, phrase, cw, boxes in final order). Rows with an
-    error or without phrases go; rows that lose all phrases stay, with none."""
+    error or without phrases go; rows that lose all phrases stay, with none. ``facts`` that are
+    there already (``with_facts``) are taken, and go."""
     if "error" in ground.columns:
         ground = ground.where("error is null")
     rows = ground.where(F.size("grounding") > 0)
     if limit:
         rows = rows.orderBy(*(c for c in ("shard_file", "seq", "path") if c in rows.columns)).limit(limit)
-    rows = rows.withColumn("cells", cells(F.col("grounding"), F.coalesce("caption", F.lit("")), F.col("img_w"), F.col("img_h"), p))
+    rows = rows if "facts" in rows.columns else with_facts(rows)
+    rows = rows.withColumn("cells", cells(F.col("facts"), F.col("img_w"), F.col("img_h"), p)).drop("facts")
     rows = rows.withColumn("kept", survivors(F.col("cells")))
     if not p.xdup:
         return rows
     before = F.transform("kept", lambda c: c["phrase"])
     rows = rows.withColumn("before", before).withColumn("kept", without_synonyms(F.col("kept")))
     lost = F.array_except("before", F.transform("kept", lambda c: c["phrase"]))
-    blamed = F.transform("cells", lambda c: F.when(c["rule"].isNull() & F.array_contains(lost, c["phrase"]), c.withField("rule", F.lit("xdup"))).otherwise(c))
+    # worked out once a row: inside the lambda it would be once a phrase, with all that it is made of
+    blamed = let(lost, lambda gone: F.transform("cells", lambda c: F.when(c["rule"].isNull() & F.array_contains(gone, c["phrase"]), c.withField("rule", F.lit("xdup"))).otherwise(c)))
     return rows.withColumn("cells", blamed).drop("before")
 
 
@@ -192,9 +219,15 @@ def output(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(*keep, grounding.alias("grounding"), F.size("kept").alias("n_phrase"), n_box.alias("n_box"))
 
 
+def entries(cleaned: DataFrame, column: str, *ids: str) -> DataFrame:
+    """ids, k, c: one row for each entry of an array. From an inner explode Spark would derive a
+    filter on the array's size, which works out the whole array, and so the cleaning, once more."""
+    return cleaned.select(*ids, F.posexplode_outer(column).alias("k", "c")).where("k is not null")
+
+
 def flat(cleaned: DataFrame, *ids: str) -> DataFrame:
     """ids, k, phrase, j, x0, y0, x1, y1: one row for each box that stays; k is the new ordinal."""
-    rows = cleaned.select(*ids, F.posexplode("kept").alias("k", "c")).select(*ids, "k", F.col("c.phrase").alias("phrase"), F.posexplode("c.boxes").alias("j", "b"))
+    rows = entries(cleaned, "kept", *ids).select(*ids, "k", F.col("c.phrase").alias("phrase"), F.posexplode("c.boxes").alias("j", "b"))
     return rows.select(*ids, "k", "phrase", "j", *(F.col("b")[i].alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))))
 
 
@@ -216,7 +249,7 @@ def attribution(cleaned: DataFrame, *ids: str) -> DataFrame:
         .when(why == "xdup", F.lit("a more complete phrase stays"))
         .otherwise(F.lit(""))
     )
-    return cleaned.select(*ids, "img_w", "img_h", F.explode("cells").alias("c")).select(*ids, c["k"].alias("k"), c["phrase"].alias("phrase"), F.coalesce(c["rule"], F.lit("kept")).alias("rule"), c["by"].alias("by"), note.alias("note"))
+    return entries(cleaned, "cells", *ids, "img_w", "img_h").select(*ids, c["k"].alias("k"), c["phrase"].alias("phrase"), F.coalesce(c["rule"], F.lit("kept")).alias("rule"), c["by"].alias("by"), note.alias("note"))
 
 
 def counters(cleaned: DataFrame) -> DataFrame:

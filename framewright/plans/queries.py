@@ -270,7 +270,7 @@ def _(spark, d):
         t = clean.clean(base, PROFILES[name])
         a = t.agg(F.lit(name).alias("variant"), (F.sum(F.size("kept")) / F.count(F.lit(1))).alias("density"))
         v = (F.col("doc_id") * 7 + F.col("k") * 3) % 20
-        said = t.select("doc_id", F.posexplode("kept").alias("k", "c")).where("k < 12").select(F.when(v >= 9, "YES").when(v >= 3, "NO").alias("verdict"))
+        said = clean.entries(t, "kept", "doc_id").where("k < 12").select(F.when(v >= 9, "YES").when(v >= 3, "NO").alias("verdict"))
         b = report.precision(said).select(F.lit(name).alias("variant"), "precision")
         dens, prec = (a, b) if dens is None else (dens.unionByName(a), prec.unionByName(b))
     out = report.effective(dens, prec, "old")
