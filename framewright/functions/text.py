@@ -26,7 +26,7 @@ def strip(s: Column) -> Column:
 
 def norm_phrase(s: Column) -> Column:
     """Lower case; all but a-z, 0-9 as single spaces; trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), "[^a-z0-9 ]", " "), " +", " "))
+    return F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
 
 
 def content_words(norm: Column) -> Column:

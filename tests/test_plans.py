@@ -1,8 +1,14 @@
 """What the optimizer makes of the cleaning: nothing costly is worked out more than once a row."""
 
+from pyspark.sql import functions as F
+
+from framewright.functions import text as txt
 from framewright.operators import clean
+from framewright.plans import fixtures
 from framewright.plans.profiles import PROFILES
 
+SF = "/root/testdata/sf0.001"
+
 SCHEMA = "doc_id long, path string, img_w int, img_h int, caption string, grounding array<struct<phrase: string, boxes: array<array<double>>>>"
 
 
@@ -28,3 +34,20 @@ def test_no_filter_cleans_once_more(spark, tmp_path):
     for rows in (clean.flat(cleaned, "doc_id"), clean.attribution(cleaned, "doc_id")):
         assert rows.count() == 1
         assert not [line for line in optimized(rows).splitlines() if "Filter" in line and "lambda" in line]
+
+
+def test_fixture_is_made_inside_the_row(spark):
+    plan = optimized(fixtures._grounding(spark, SF))
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Repartition") == 1
+
+
+def test_normalised_in_one_pass(spark):
+    texts = ["", "  ", "A  b", " \n\tA-b__C9 ", "Été à l'İzmir", "x\u2028y", "é", "a\U0001f600b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    twice = F.trim(F.regexp_replace(F.regexp_replace(F.lower("t"), "[^a-z0-9 ]", " "), " +", " "))
+    assert all(r["a"] == r["b"] for r in df.select(txt.norm_phrase(F.col("t")).alias("a"), twice.alias("b")).collect())
+    assert optimized(df.select(txt.norm_phrase(F.col("t")).alias("n"))).count("regexp_replace(") == 1
+
+
+def test_stored_cleaning_leaves_the_caption(spark):
+    assert not {"caption", "grounding"} & set(fixtures.cleaned(spark, SF).columns)
