@@ -238,7 +238,7 @@ def _(spark, d):
 
 @query("drop_matrix", f"WITH {sql.FIXTURE}, {sql.cleaned('c', 'c_')}, {sql.cleaned('rec', 'r_')} SELECT doc_id, a.k AS k, a.phrase AS phrase, coalesce(a.rule, 'kept') AS c, coalesce(b.rule, 'kept') AS rec FROM c_cells a JOIN r_cells b USING (doc_id, k)")
 def _(spark, d):
-    base = fx.grounding(spark, d)
+    base = fx.judged(spark, d)
     rows = None
     for name in ("c", "rec"):  # both profiles over one input; the join is on the phrase's place
         own = clean.attribution(clean.clean(base, PROFILES[name]), "doc_id").select("doc_id", "k", "phrase", F.lit(name).alias("variant"), "rule")
@@ -256,7 +256,7 @@ _ALL = f"WITH {sql.FIXTURE}, " + ", ".join(sql.cleaned(n, f"{n}_") for n in ABLA
 
 @query("ablation_profiles", _ALL.replace("all_", "every_") + " " + " UNION ALL ".join(_summary(n) for n in ABLATION).replace("all_", "every_"))
 def _(spark, d):
-    base = fx.grounding(spark, d)
+    base = fx.judged(spark, d)
     return report.ablation({n: clean.clean(base, PROFILES[n]) for n in ABLATION})
 
 
@@ -265,7 +265,7 @@ _PREC = "SELECT '{n}' AS variant, (SELECT count(*) FROM {n}_kept) / (SELECT coun
 
 @query("profile_delta", f"WITH {sql.FIXTURE}, {sql.cleaned('old', 'old_')}, {sql.cleaned('new', 'new_')}, {sql.cleaned('c', 'c_')}, p AS ({' UNION ALL '.join(_PREC.format(n=n) for n in ('old', 'new', 'c'))}), e AS (SELECT *, density * precision AS effective FROM p) SELECT variant, round(density, 6) AS density, round(precision, 6) AS precision, round(effective, 6) AS effective, round(100 * (precision - (SELECT precision FROM e WHERE variant = 'old')), 6) AS points, round(effective - (SELECT effective FROM e WHERE variant = 'old'), 6) AS gain, round(100 * (effective / (SELECT effective FROM e WHERE variant = 'old') - 1), 6) AS gain_pct FROM e")
 def _(spark, d):
-    base, dens, prec = fx.grounding(spark, d), None, None
+    base, dens, prec = fx.judged(spark, d), None, None
     for name in ("old", "new", "c"):
         t = clean.clean(base, PROFILES[name])
         a = t.agg(F.lit(name).alias("variant"), (F.sum(F.size("kept")) / F.count(F.lit(1))).alias("density"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions import text as txt
 from framewright.operators import clean
-from framewright.plans import fixtures
+from framewright.plans import edge_queries, fixtures
 from framewright.plans.profiles import PROFILES
 
 SF = "/root/testdata/sf0.001"
@@ -51,3 +51,8 @@ def test_normalised_in_one_pass(spark):
 
 def test_stored_cleaning_leaves_the_caption(spark):
     assert not {"caption", "grounding"} & set(fixtures.cleaned(spark, SF).columns)
+
+
+def test_profiles_share_the_facts(spark):
+    plan = optimized(edge_queries.QUERIES["ablation_profiles"](spark, SF))
+    assert "regexp_replace" not in plan
