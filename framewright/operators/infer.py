@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
@@ -19,6 +20,9 @@ from ..functions import geometry as geo
 from ..functions import text as txt
 from .sampling import crops
 
+#: Bytes of texts in one part of ``by_length``.
+PART = 32_000_000
+
 CAPTION_OUT = "id long, shard int, path string, gt_caption string, gemma_short string, gemma_dense string, error string"
 
 
@@ -131,9 +135,36 @@ def caption(work: DataFrame, backend: Callable[[], Backend | list[Backend]] = St
     return rows.withColumns({c: txt.after_thinking(F.col(c)) for c in ("gemma_short", "gemma_dense")})
 
 
+def with_words(captions: DataFrame) -> DataFrame:
+    return captions.withColumn("_words", txt.word_count(F.coalesce("gemma_dense", F.lit(""))))
+
+
 def by_length(captions: DataFrame, n: int) -> DataFrame:
-    """Rows with captions of like length together, for batches of a model."""
-    return captions.withColumn("_words", txt.word_count(F.coalesce("gemma_dense", F.lit("")))).repartitionByRange(n, "_words", "path").sortWithinPartitions("_words", "path").drop("_words")
+    """Rows with captions of like length together, for batches of a model: n parts, or more
+    where a part would have over PART bytes of texts. ``_words`` that are there already are taken,
+    and stay; such rows need no text, and n parts are enough for them."""
+    if "_words" in captions.columns:
+        return captions.repartitionByRange(n, "_words", "path").sortWithinPartitions("_words", "path")
+    counted = with_words(captions)
+    # one row for each length, the upper seven bits of it where it is long: at most some thousands
+    step = F.expr("shiftleft(1L, greatest(0, cast(log2(greatest(_words, 1)) as int) - 6))")
+    lengths = counted.select((F.floor(F.col("_words") / step) * step).alias("of"), F.octet_length(F.coalesce("gemma_dense", F.lit(""))).alias("bytes"))
+    sums = sorted(lengths.groupBy("of").agg(F.sum(F.col("bytes") + 64).alias("bytes")).collect())
+    most = max(1, min(PART, -(-sum(r["bytes"] for r in sums) // n)))
+    firsts, parts, full = [], 0, most
+    for r in sums:  # a part takes lengths until it is full; one that alone is more has parts of its own
+        own = -(-r["bytes"] // most)
+        if full + r["bytes"] > most:
+            firsts.append((r["of"], parts, own))
+            parts, full = parts + own, r["bytes"] if own == 1 else most
+        else:
+            firsts.append((r["of"], parts - 1, 1))
+            full += r["bytes"]
+    rows = json.dumps([dict(zip(("_of", "_first", "_own"), x)) for x in firsts])  # no Python worker for a few rows
+    places = captions.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<_of: bigint, _first: int, _own: int>>")))
+    placed = counted.withColumn("_of", F.floor(F.col("_words") / step) * step).join(F.broadcast(places), "_of")
+    dealt = placed.withColumn("_part", (F.col("_first") + F.pmod(F.xxhash64("path"), F.col("_own"))).cast("int")).repartitionById(max(1, parts), "_part")
+    return dealt.sortWithinPartitions("_words", "path").select(*captions.columns)
 
 
 def ground_texts(captions: DataFrame, generate: Callable[[list[dict]], list[str]], parse: Callable[[str], tuple[list[str], list[list[float]]]], batch: int = 8) -> DataFrame:

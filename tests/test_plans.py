@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from framewright.functions import text as txt
-from framewright.operators import clean
+from framewright.operators import clean, infer
 from framewright.plans import edge_queries, fixtures
 from framewright.plans.profiles import PROFILES
 
@@ -56,3 +56,28 @@ def test_stored_cleaning_leaves_the_caption(spark):
 def test_profiles_share_the_facts(spark):
     plan = optimized(edge_queries.QUERIES["ablation_profiles"](spark, SF))
     assert "regexp_replace" not in plan
+
+
+def test_length_order_deals_no_texts(spark):
+    plan = optimized(edge_queries.QUERIES["length_order"](spark, SF))
+    upper = plan[: plan.index("RepartitionByExpression")]
+    assert "text" not in upper and "gemma_dense" not in upper
+
+
+def test_parts_by_length_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(infer, "PART", 20_000)
+    rows = [(f"p{i}", None if i == 5 else " ".join(["word"] * (3 if i % 4 else 1 + i))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "path string, gemma_dense string")
+    got = [(r["part"], r["path"], r["gemma_dense"]) for r in infer.by_length(df, 2).withColumn("part", F.spark_partition_id()).collect()]
+    assert sorted((p, t) for _, p, t in got) == sorted(rows, key=lambda r: r[0])
+    of_part, words = {}, {}
+    for part, _, t in got:
+        of_part[part] = of_part.get(part, 0) + len(t or "")
+        words.setdefault(part, []).append(len((t or "").split()))
+    assert len(of_part) > 2 and max(of_part.values()) <= 40_000
+    assert all(w == sorted(w) for w in words.values())
+    edges = [(min(w), max(w)) for _, w in sorted(words.items())]
+    assert all(a[1] <= b[0] * 1.02 for a, b in zip(edges, edges[1:]))
+    few = infer.by_length(df.limit(3), 2).withColumn("part", F.spark_partition_id()).collect()
+    assert len({r["part"] for r in few}) <= 3
+    assert infer.by_length(df.limit(0), 2).count() == 0
