@@ -101,42 +101,46 @@ def phrase_rule(c: Column, p: Profile) -> Column:
 def cells(facts: Column, w: Column, h: Column, p: Profile) -> Column:
     """One entry for each phrase: k, phrase, norm, cw, raw, rule, by, boxes and n_<rule> for
     each rule on boxes. ``by``: for rule "empty", the rule that took the last box."""
-    none = F.lit(None).cast(NO_BOXES)
     steps = dict(box_steps(p, w, h))
-    names = list(steps)
+    no_name = F.lit(None).cast("string")
 
-    def ruled(c):
-        return F.struct(*(c[x] for x in ("k", "phrase", "norm", "cw", "raw", "own")), phrase_rule(c, p).alias("rule"))
-
-    out = F.transform(F.transform(facts, ruled), lambda c: c.withField("after", F.when(c["rule"].isNull(), c["raw"]).otherwise(none)))
-    fixed = ("k", "phrase", "norm", "cw", "raw", "own", "rule")
+    def begun(c):
+        """Only what the steps change: each of them copies all that it hands on."""
+        free = phrase_rule(c, p).isNull()
+        if not p.dup:
+            return F.struct(F.when(free, c["raw"]).alias("after"), no_name.alias("by"))
+        lost = F.coalesce(F.when(free, F.size(c["raw"]) - F.size(c["own"])), F.lit(0))
+        return F.struct(lost.alias("n_dup"), F.when(free, c["own"]).alias("after"), F.when(free & (F.size(c["own"]) == 0), "dup").otherwise(no_name).alias("by"))
 
     def take(name, done):
         """The step of one rule: what it leaves, how many it took, whether it took the last."""
 
         def stepped(c):
-            by = c["by"] if done else F.lit(None).cast("string").alias("by")
-            after = F.when(c["rule"].isNull(), c["own"]) if name == "dup" else steps[name](c["after"])
-            return F.struct(*(c[x] for x in fixed), *(c[f"n_{d}"] for d in done), c["after"].alias("before"), after.alias("after"), by)
+            return F.struct(*(c[f"n_{d}"] for d in done), c["after"].alias("before"), steps[name](c["after"]).alias("after"), c["by"])
 
         def counted(c):
             lost = F.coalesce(F.size(c["before"]) - F.size(c["after"]), F.lit(0))
             by = F.when(c["by"].isNull() & (F.size(c["after"]) == 0), name).otherwise(c["by"])
-            return F.struct(*(c[x] for x in fixed), *(c[f"n_{d}"] for d in done), lost.alias(f"n_{name}"), c["after"], by.alias("by"))
+            return F.struct(*(c[f"n_{d}"] for d in done), lost.alias(f"n_{name}"), c["after"], by.alias("by"))
 
         return stepped, counted
 
+    out, names = F.transform(facts, begun), list(steps)
     for i, name in enumerate(names):  # each step reads what the one before has left, once
-        stepped, counted = take(name, names[:i])
-        out = F.transform(F.transform(out, stepped), counted)
+        if name != "dup":
+            stepped, counted = take(name, names[:i])
+            out = F.transform(F.transform(out, stepped), counted)
+
+    def finished(ends):
+        def entry(c, i):
+            rule, end = phrase_rule(c, p), F.get(ends, i)
+            empty = rule.isNull() & (F.size(end["after"]) == 0)
+            counts = [(end[f"n_{r}"] if r in steps else F.lit(0)).alias(f"n_{r}") for r in BOX_RULES]
+            return F.struct(c["k"], c["phrase"], c["norm"], c["cw"], c["raw"], F.when(empty, "empty").otherwise(rule).alias("rule"), F.when(empty, end["by"]).alias("by"), end["after"].alias("boxes"), *counts)
 
-    def finished(c):
-        by = c["by"] if names else F.lit(None).cast("string")
-        empty = c["rule"].isNull() & (F.size(c["after"]) == 0)
-        counts = [(c[f"n_{r}"] if r in steps else F.lit(0)).alias(f"n_{r}") for r in BOX_RULES]
-        return F.struct(c["k"], c["phrase"], c["norm"], c["cw"], c["raw"], F.when(empty, "empty").otherwise(c["rule"]).alias("rule"), F.when(empty, by).alias("by"), c["after"].alias("boxes"), *counts)
+        return F.transform(facts, entry)
 
-    return F.transform(out, finished)
+    return let(out, finished)
 
 
 def survivors(of: Column) -> Column:

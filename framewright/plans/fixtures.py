@@ -118,10 +118,10 @@ def fresh(spark: SparkSession, sf_dir: str, profile: Profile | str = "rec") -> D
 
 def cleaned(spark: SparkSession, sf_dir: str, profile: Profile | str = "rec") -> DataFrame:
     """The output of the cleaning stage, an input of the later ones: stored for the named profiles,
-    without the caption and the grounding that came in."""
+    without the caption, which no later stage reads."""
     if not isinstance(profile, str):
         return fresh(spark, sf_dir, profile)
-    return _once(spark, sf_dir, f"cleaned-{profile}", lambda: fresh(spark, sf_dir, profile).drop("caption", "grounding"))
+    return _once(spark, sf_dir, f"cleaned-{profile}", lambda: fresh(spark, sf_dir, profile).drop("caption"))
 
 
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
